@@ -17,7 +17,7 @@ LANGUAGE_LABELS = {
     "tr": ("tr", "tur", "turkish", "türkçe", "turkce"),
 }
 
-BLANKS = r"[\s ­  -‏ -  -⁤　﻿]+"
+BLANKS = r"[\s\xa0\xad\u1680\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]+"
 
 
 def tidy(value: Column) -> Column:
@@ -62,7 +62,7 @@ def split_name(split: Column) -> Column:
 
 def language_code(label: Column) -> Column:
     """The language a label names, null where it names none of the five."""
-    name = F.regexp_replace(tidy(label), "[‘’ʻʼ`´]", "'")
+    name = F.regexp_replace(tidy(label), "[\u2018\u2019\u02bb\u02bc`\xb4]", "'")
     base = F.regexp_extract(name, "^([^_-]+)", 1)
     out = None
     for code, spellings in LANGUAGE_LABELS.items():

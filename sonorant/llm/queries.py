@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import p03_leximin, p04_grouped_split, p05_contributor_cap, p07_stable_sample
+from . import p02_language, p03_leximin, p04_grouped_split, p05_contributor_cap, p06_canonical, p07_stable_sample, p08_tokenize, p10_spam
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p02_language.wrong_labels(
+        table(spark, d, "documents"), table(spark, d, "labeled_manifest"), table(spark, d, "language_seed"))
+
+
+def p2_labels(spark: SparkSession, d: str) -> DataFrame:
+    return p02_language.all_labels(
+        table(spark, d, "documents"), table(spark, d, "labeled_manifest"), table(spark, d, "language_seed"))
 
 
 def p3_ranking(spark: SparkSession, d: str) -> DataFrame:
@@ -30,6 +40,18 @@ def p5_kept(spark: SparkSession, d: str) -> DataFrame:
     return p05_contributor_cap.kept(table(spark, d, "ssl_candidates"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p06_canonical.same_looking_pairs(table(spark, d, "documents"))
+
+
+def p6_texts(spark: SparkSession, d: str) -> DataFrame:
+    documents = p06_canonical.canonicalize(table(spark, d, "documents"), "doc_id").select(
+        F.lit("documents").alias("record_table"), F.col("doc_id").alias("record_id"), "text")
+    manifest = p06_canonical.canonicalize(table(spark, d, "labeled_manifest"), "line_number").select(
+        F.lit("labeled_manifest").alias("record_table"), F.col("line_number").alias("record_id"), "text")
+    return documents.unionByName(manifest)
+
+
 def p7_sample(spark: SparkSession, d: str) -> DataFrame:
     ssl = p07_stable_sample.sample(table(spark, d, "ssl_candidates")).select(
         F.lit("ssl_candidates").alias("record_table"), "audio_id", "clip", "delivered_at")
@@ -38,8 +60,26 @@ def p7_sample(spark: SparkSession, d: str) -> DataFrame:
     return ssl.unionByName(labeled)
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return p08_tokenize.encode(table(spark, d, "documents"), "doc_id")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_spam.spam(table(spark, d, "documents"), table(spark, d, "language_seed"))
+
+
+def p10_shares(spark: SparkSession, d: str) -> DataFrame:
+    return p10_spam.spam_shares(table(spark, d, "documents"), table(spark, d, "language_seed"))
+
+
+QUERIES = (
+    p2_found, p2_labels, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids,
+    p10_found, p10_shares,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_ranking, p4_found, p4_split, p5_found, p5_kept, p7_sample)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
