@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import p02_language, p03_leximin, p04_grouped_split, p05_contributor_cap, p06_canonical, p07_stable_sample, p08_tokenize, p10_spam
+from . import p01_split_overlap, p02_language, p03_leximin, p04_grouped_split, p05_contributor_cap, p06_canonical, p07_stable_sample, p08_tokenize, p10_spam
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p01_split_overlap.overlaps(table(spark, d, "labeled_manifest"))
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    return p01_split_overlap.report(table(spark, d, "labeled_manifest"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +81,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    p2_found, p2_labels, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids,
+    p1_found, p1_report, p2_found, p2_labels, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids,
     p10_found, p10_shares,
 )
 
