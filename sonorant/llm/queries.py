@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import table
-from . import p01_split_overlap, p02_language, p03_leximin, p04_grouped_split, p05_contributor_cap, p06_canonical, p07_stable_sample, p08_tokenize, p10_spam
+from . import p01_split_overlap, p02_language, p03_leximin, p04_grouped_split, p05_contributor_cap, p06_canonical, p07_stable_sample, p08_tokenize, p09_packing, p10_spam
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -72,6 +72,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return p08_tokenize.encode(table(spark, d, "documents"), "doc_id")
 
 
+def p9_containers(spark: SparkSession, d: str) -> DataFrame:
+    return p09_packing.pack_documents(table(spark, d, "documents"))
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    return p09_packing.fill(p9_containers(spark, d))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_spam.spam(table(spark, d, "documents"), table(spark, d, "language_seed"))
 
@@ -81,7 +89,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    p1_found, p1_report, p2_found, p2_labels, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids,
+    p1_found, p1_report, p2_found, p2_labels, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids, p9_containers, p9_fill,
     p10_found, p10_shares,
 )
 
