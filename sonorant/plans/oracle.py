@@ -112,6 +112,28 @@ SQL = {
       SELECT 'language' AS key, coalesce(language, 'None') AS value, count(*) AS n FROM x GROUP BY 2
       UNION ALL SELECT 'dataset', coalesce(dataset, 'None'), count(*) FROM x GROUP BY 2""",
     "selected_hours": f"WITH {_SSL} SELECT count(*) AS n, round(coalesce(sum({_SECONDS}), 0) / 3600, 4) AS hours FROM r WHERE len(reasons) = 0",
+    "ssl_selection": f"""WITH RECURSIVE {_SSL.replace('FROM ssl_candidates)', 'FROM ssl_candidates WHERE audio_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY audio_id ORDER BY delivered_at DESC) = 1)')},
+      c AS MATERIALIZED (SELECT audio_id, coalesce(source_audio_id, 'None') AS source, round({_SECONDS} * 1000)::BIGINT AS ms,
+        round(coalesce(score, 0) - coalesce(overlap_ratio, 0) * 0.2::DOUBLE + least(greatest(coalesce(snr, 0) / 30.0::DOUBLE, 0), 1) * 0.1::DOUBLE, 6) AS score
+        FROM r WHERE len(reasons) = 0),
+      k AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, audio_id) AS place FROM c),
+      ranked AS MATERIALIZED (SELECT audio_id, ms, row_number() OVER (ORDER BY score DESC, audio_id) AS rn FROM k WHERE place <= 3),
+      f AS (
+        SELECT rn, audio_id, ms AS acc, true AS fits FROM ranked WHERE rn = 1
+        UNION ALL
+        SELECT n.rn, n.audio_id, CASE WHEN f.acc + n.ms <= 1800000 THEN f.acc + n.ms ELSE f.acc END, f.acc + n.ms <= 1800000 FROM f JOIN ranked n ON n.rn = f.rn + 1)
+      SELECT audio_id, 'gates' AS stage FROM r WHERE len(reasons) > 0
+      UNION ALL SELECT audio_id, 'source_cap' FROM k WHERE place > 3
+      UNION ALL SELECT audio_id, CASE WHEN fits THEN 'selected' ELSE 'budget' END FROM f""",
+    "labeled_split_counts": f"""WITH judged AS (
+        SELECT *, {_CLEAN} AS clean FROM labeled_manifest WHERE duration IS NOT NULL AND NOT duration < 0.8
+          AND NOT (duration > 30 AND NOT isnan(duration)) AND (sample_rate IS NULL OR sample_rate = 16000)),
+      base AS (SELECT * FROM judged WHERE {_TEXT_REASON} = ''), {_SPLIT}
+      SELECT new_split AS split, coalesce(language, 'None') AS language, count(*) AS n, round(sum({_SECONDS}) / 3600, 4) AS hours FROM a GROUP BY 1, 2""",
+    "clip_manifest": """SELECT audio_id || '_vad_00000_' || lpad(p::VARCHAR, 2, '0') AS audio_id, 'audio/' || audio_id || '_vad_00000_' || lpad(p::VARCHAR, 2, '0') || '.wav' AS audio_path,
+      CASE WHEN starts_with(audio_path, '/') THEN audio_path ELSE '/data/manifests/' || audio_path END AS source_audio_path,
+      (0.5 + 5 * p)::DOUBLE AS source_start, least(5.5 + 5 * p, 12.75)::DOUBLE AS source_end, (least(5.5 + 5 * p, 12.75) - 0.5 - 5 * p)::DOUBLE AS duration, dataset
+      FROM (SELECT DISTINCT * FROM raw_unlabeled), (VALUES (0), (1), (2)) x(p)""",
     "feature_last_wins": """SELECT audio_id, status, clipping_ratio, silence_ratio, rms_dbfs, snr_estimate_db, dc_offset_mean_abs, quality_score, computed_at
       FROM quality_features WHERE audio_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY audio_id ORDER BY computed_at DESC) = 1""",
     "shard_union": """SELECT audio_id, (CASE WHEN day(computed_at) % 2 = 0 THEN 0 ELSE 1 END)::INT AS file_ord, status, overlap_ratio FROM overlap_features
@@ -163,7 +185,7 @@ SQL = {
       FROM m QUALIFY place <= 3""",
     "music_windows_padded": f"""WITH {_WAVES}, x AS (SELECT vec_id, s, unnest(range(greatest(ceil(len(s) / 10.0)::INT, 1)))::INT AS k FROM w)
       SELECT vec_id, k, 10 AS n, round(list_sum(list_transform(s[k * 10 + 1:least(k * 10 + 10, len(s))], lambda x: x::DOUBLE)), 5) AS total FROM x""",
-    "label_index": "SELECT min(n_nationkey) AS index FROM nation WHERE lower(n_name) = lower('gERMANY') HAVING count(*) > 0",
+    "label_index": "SELECT min(n_nationkey) AS index FROM nation WHERE lower(n_name) = 'nation_7' HAVING count(*) > 0",
     "quality_metrics_mono": f"""WITH {_WAVES}, d AS (SELECT vec_id, s, list_transform(s, lambda x: abs(x)) AS a, list_transform(s, lambda x: x::DOUBLE * x::DOUBLE) AS p,
         pow(10.0::DOUBLE, -2.5::DOUBLE)::FLOAT AS t FROM w),
       f AS (SELECT *, list_transform([0, 10, 20, 30], lambda k: 20 * log10(greatest(sqrt(list_sum(p[k + 1:k + 25]) / 25), 1e-12))) AS fr,
@@ -173,7 +195,7 @@ SQL = {
         round(20 * log10(greatest(sqrt(list_avg(act)), 1e-12)), 3) AS active_rms_dbfs,
         round(list_avg(list_transform(a, lambda x: (x <= t)::INT)), 6) AS silence_ratio, round(list_avg(list_transform(a, lambda x: (x > t)::INT)), 6) AS active_ratio,
         round(list_avg(list_transform(a, lambda x: (x >= 0.999::FLOAT)::INT)), 8) AS clipping_ratio,
-        round(abs(list_avg(list_transform(s, lambda x: x::DOUBLE))), 7) AS dc_offset_mean_abs,
+        round(abs(list_avg(list_transform(s, lambda x: x::DOUBLE))), 8) AS dc_offset_mean_abs,
         round(list_sum(list_transform(range(1, len(s)), lambda i: ((s[i] < 0) <> (s[i + 1] < 0))::INT)) / (len(s) / 1000.0::DOUBLE), 3) AS zero_crossing_rate
       FROM f""",
     "quality_score": _SCORE,

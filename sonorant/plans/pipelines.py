@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..config import LABELED_GATES, SSL_GATES, AudioQuality, Music, Overlap, QualityGates, Selection, SplitRatios, TextGates, Vad
+from ..config import LABELED_GATES, SSL_GATES, AudioQuality, Music, Overlap, QualityGates, Selection, SplitRatios, TextGates, TextNormalization, Vad
 from ..functions import signal
 from ..functions.hashing import none_string
 from ..operators import features, gates, selection, sharding, split
@@ -295,12 +295,12 @@ def _rejected(rows: DataFrame, reason: str) -> DataFrame:
 def run_labeled_split(manifest: DataFrame, quality: DataFrame | None, overlap: DataFrame | None, music: DataFrame | None = None,
                       quality_gates: QualityGates = LABELED_GATES, text_gates: TextGates = TextGates(), ratios: SplitRatios = SplitRatios(),
                       group: str = "speaker_id", strata: tuple[str, ...] = ("language", "dataset"), salt: str = "",
-                      languages: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+                      languages: tuple[str, ...] = (), normalization: TextNormalization = TextNormalization()) -> tuple[DataFrame, DataFrame]:
     """(assigned, rejected). Reasons: quality gates, then text gates, then language."""
     joined = features.join_features(manifest, quality, overlap, music)
     reasons = gates.all_reasons(
         gates.quality_reasons(F.col("duration"), F.col("sample_rate"), F.col("q"), F.col("o"), F.col("m"), quality_gates),
-        gates.text_reasons(F.col("text"), F.col("duration"), text_gates),
+        gates.text_reasons(F.col("text"), F.col("duration"), text_gates, normalization),
         gates.language_reason(F.col("language"), languages))
     judged = cut(joined.withColumn("reject_reasons", reasons).drop("q", "o", "m"))
     passing = judged.where(F.size("reject_reasons") == 0).drop("reject_reasons")

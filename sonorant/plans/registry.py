@@ -20,6 +20,7 @@ from .oracle import SQL
 
 OPEN_SSL = replace(SSL_GATES, require_music=False)
 OPEN_LABELED = replace(LABELED_GATES, require_quality=False, require_overlap=False, require_music=False)
+LABEL = "nAtIoN_7"
 PLAIN = TextNormalization(normalize_unicode=False)
 MANIFEST = "/data/manifests/train.jsonl"
 
@@ -114,7 +115,7 @@ def labeled_split_assignment(spark: SparkSession, d: str) -> DataFrame:
 
 def labeled_split_counts(spark: SparkSession, d: str) -> DataFrame:
     """Gates, normalised text gates, split and counts: the labeled branch end to end."""
-    assigned, _ = pipelines.run_labeled_split(table(spark, d, "labeled_manifest"), None, None, quality_gates=OPEN_LABELED, salt="s1")
+    assigned, _ = pipelines.run_labeled_split(table(spark, d, "labeled_manifest"), None, None, quality_gates=OPEN_LABELED, salt="s1", normalization=PLAIN)
     return split.split_counts(assigned, ["language"])
 
 
@@ -135,10 +136,11 @@ def hours_budget(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ssl_selection(spark: SparkSession, d: str) -> DataFrame:
-    """Gates, score, cap and budget over the candidates: rows by stage and language."""
-    rows = table(spark, d, "ssl_candidates").drop("selection_score")
-    out = pipelines.run_ssl_selection(rows, quality(spark, d), overlap(spark, d), quality_gates=OPEN_SSL, config=Selection(5, 20.0))
-    return out.groupBy("stage").agg(F.count("*").alias("n"))
+    """Gates, score, cap and budget over the last delivery of every candidate: the stage each one reached."""
+    columns = ["duration", "sample_rate", "language", "dataset", "source_audio_id", "delivered_at"]
+    rows = features.last_wins(table(spark, d, "ssl_candidates"), ["delivered_at"], columns)
+    out = pipelines.run_ssl_selection(rows, quality(spark, d), overlap(spark, d), quality_gates=OPEN_SSL, config=Selection(3, 0.5, ("uz", "ru")))
+    return out.select("audio_id", "stage")
 
 
 def selected_by_language_dataset(spark: SparkSession, d: str) -> DataFrame:
@@ -226,13 +228,13 @@ def music_windows_padded(spark: SparkSession, d: str) -> DataFrame:
 
 def label_index(spark: SparkSession, d: str) -> DataFrame:
     labels = table(spark, d, "nation").select(F.col("n_name").alias("label"), F.col("n_nationkey").alias("index"))
-    return music.label_index(labels, "gERMANY")
+    return music.label_index(labels, LABEL)
 
 
 def quality_metrics_mono(spark: SparkSession, d: str) -> DataFrame:
     return waves(spark, d).select("vec_id", signal.metrics_of(F.col("samples"), F.lit(1000)).alias("x")).select(
         "vec_id", "x.num_samples", "x.rms_dbfs", "x.peak_dbfs", "x.noise_floor_dbfs", "x.active_rms_dbfs", "x.silence_ratio", "x.active_ratio",
-        "x.clipping_ratio", F.round("x.dc_offset_mean_abs", 7).alias("dc_offset_mean_abs"), "x.zero_crossing_rate")
+        "x.clipping_ratio", "x.dc_offset_mean_abs", "x.zero_crossing_rate")
 
 
 def quality_score(spark: SparkSession, d: str) -> DataFrame:
