@@ -37,7 +37,29 @@ def prepared(manifest: DataFrame) -> DataFrame:
 
 
 def within(a: list[str], b: list[str], errors: int) -> bool:
-    """Whether the edit distance of two word lists is at most `errors`; dynamic programming in a band."""
+    """Whether the edit distance of two word lists is at most `errors`.
+
+    Equal ends are cut off; then dynamic programming in a band, first a narrow
+    one that doubles, so near texts cost little however long they are.
+    """
+    if abs(len(a) - len(b)) > errors:
+        return False
+    start, stop = 0, min(len(a), len(b))
+    while start < stop and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < stop - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start : len(a) - end], b[start : len(b) - end]
+    band = max(1, abs(len(a) - len(b)))
+    while band < errors:
+        if _banded(a, b, band):
+            return True
+        band *= 2
+    return _banded(a, b, errors)
+
+
+def _banded(a: list[str], b: list[str], errors: int) -> bool:
     n, m = len(a), len(b)
     if abs(n - m) > errors:
         return False
@@ -59,55 +81,103 @@ def within(a: list[str], b: list[str], errors: int) -> bool:
     return row[m] <= errors
 
 
-def _gram(words: Column, start: Column, width: int) -> Column:
-    return F.xxhash64(F.lit(width), *[F.get(words, start + i) for i in range(width)])
+WIDTHS = (3, 2, 1)
+#: Runs of words that the sketch of frequent ones tracks, and from which count and share of all runs one is hot.
+#: No more than HOT_PARTS runs can reach that share, which bounds what is broadcast.
+TRACKED, HOT_LEAST, HOT_PARTS = 20_000, 1_000, 5_000
+
+
+def _grams(width: int) -> Column:
+    """Hashes of all runs of `width` words of the array w, in order."""
+    words, n = F.col("w"), F.size("w")
+    gram = lambda j: F.xxhash64(F.lit(width), *[F.get(words, j + i) for i in range(width)])
+    return F.when(n >= width, F.transform(F.sequence(F.lit(0), n - width), gram)).otherwise(F.array().cast("array<bigint>"))
+
+
+def hot_grams(train: DataFrame) -> list[int]:
+    """Runs of words that very many texts (w) share, from a mergeable sketch over all of them; at most HOT_PARTS."""
+    each = train.select(F.explode(F.concat(*[_grams(w) for w in WIDTHS])).alias("g"))
+    found = each.agg(F.expr(f"approx_top_k(g, {HOT_PARTS}, {TRACKED})").alias("top"), F.count("*").alias("n")).first()
+    least = max(HOT_LEAST, found.n // HOT_PARTS)
+    return sorted(x.item for x in found.top or () if x["count"] >= least)
+
+
+def segments(n: int, grams: dict[int, list[int]], hot: frozenset[int]) -> tuple[int, list[int]]:
+    """Width and starts of n // 4 + 1 disjoint runs of words of a text, none of them hot if that can be.
+
+    The text is cut evenly and each segment stands for its first words. Where a
+    hot run gets in the way, runs between the hot ones are taken, of three words
+    if there are enough, else of two or one; a text of little but hot runs keeps
+    the even cut.
+    """
+    need = n // 4 + 1
+    cuts = [i * n // need for i in range(need + 1)]
+    width = min(3, min(b - a for a, b in zip(cuts, cuts[1:])))
+    if not hot or not any(grams[width][p] in hot for p in cuts[:-1]):
+        return width, cuts[:-1]
+    for narrow in WIDTHS:
+        starts, j, row = [], 0, grams[narrow]
+        while j < len(row) and len(starts) < need:
+            if row[j] in hot:
+                j += 1
+            else:
+                starts.append(j)
+                j += narrow
+        if len(starts) == need:
+            return narrow, starts
+    return width, cuts[:-1]
 
 
 def candidate_pairs(evaluation: DataFrame, train: DataFrame) -> DataFrame:
     """(e, t): distinct texts of (id, words) that may be within the distance, by the segment filter.
 
-    A text of n words meets partners of at most 5n/4 words, so at most
-    k = floor(n / 4) errors. Cut into k + 1 segments, one of them, the i-th,
-    appears unchanged with at most i errors before and k - i after it, which
-    bounds where in the partner it starts. A segment has at least three words
-    (two where n is 8); its first three are the join key, on the train side all
-    runs of three words. Of the k + 1 segments at most K = floor(longer / 5) can
-    be broken, so a pair must meet in k + 1 - K of them. Keys are pre-grouped
-    by text, nothing is capped; a key that very many texts have is split over
-    tasks by AQE.
+    A text of n words meets partners of at most 5n/4 words, so a pair has at
+    most K = floor(longer / 5) <= floor(n / 4) = k errors. Of the k + 1 disjoint
+    segments cut from the evaluation text, at least k + 1 - K appear unchanged
+    in the partner, and where one starts is bounded: the shift before it and the
+    difference of lengths left after it cannot cost more than K errors together.
+    Segments are hashed and joined with the train texts' runs of as many words.
+    Runs that very many texts share are avoided, so no key is hot; nothing is
+    capped, and any set of disjoint segments finds every pair.
     """
-    e = evaluation.select("id", F.split("words", " ").alias("w")).withColumn("n", F.size("w"))
-    e = e.withColumn("k", F.floor(F.col("n") / 4).cast("int"))
-    e = e.select("id", "w", "n", "k", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
-    at = lambda i: F.floor(i * F.col("n") / (F.col("k") + 1)).cast("int")
-    e = e.withColumn("p", at(F.col("i"))).withColumn("size", at(F.col("i") + 1) - F.col("p"))
-    e = e.select(
-        F.when(F.col("size") >= 3, _gram(F.col("w"), F.col("p"), 3)).otherwise(_gram(F.col("w"), F.col("p"), 2)).alias("gram"),
-        F.col("id").alias("e"), "n", "k", "i", "p",
-    )
-    t = train.select(F.col("id").alias("t"), F.split("words", " ").alias("w")).withColumn("m", F.size("w"))
-
-    def runs(width: int) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.col("m") - width),
-            lambda j: F.struct(_gram(F.col("w"), j, width).alias("gram"), j.cast("int").alias("j")),
-        )
+    train = train.select(F.col("id").alias("t"), F.split("words", " ").alias("w")).withColumn("m", F.size("w"))
+    hot = evaluation.sparkSession.sparkContext.broadcast(frozenset(hot_grams(train)))
 
-    pairs_too = F.when(F.col("m").between(6, 10), runs(2)).otherwise(F.array().cast("array<struct<gram:bigint,j:int>>"))
-    t = t.select("t", "m", F.explode(F.concat(runs(3), pairs_too)).alias("x")).select("t", "m", "x.gram", "x.j")
+    def pick(batches):
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            for e, n, *rows in zip(*[c.to_pylist() for c in batch.columns]):
+                grams = dict(zip(WIDTHS, rows))
+                width, starts = segments(n, grams, hot.value)
+                for i, p in enumerate(starts):
+                    for column, value in zip(out, (grams[width][p], e, n, i, p, width)):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["gram", "e", "n", "i", "p", "width"])
+
+    e = evaluation.select("id", F.split("words", " ").alias("w")).select("id", F.size("w").alias("n"), *[_grams(w) for w in WIDTHS])
+    e = cut(e.mapInArrow(pick, "gram bigint, e bigint, n int, i int, p int, width int"))
+    # Train texts give runs of a width only where evaluation texts of a fitting length use it.
+    used = {r.width: (r.low, r.high) for r in e.groupBy("width").agg(F.min("n").alias("low"), F.max("n").alias("high")).collect()}
+    runs = [
+        F.when(
+            (5 * F.col("m") >= 4 * low) & (4 * F.col("m") <= 5 * high),
+            F.transform(_grams(width), lambda g, j: F.struct(g.alias("gram"), j.alias("j"))),
+        ).otherwise(F.array().cast("array<struct<gram:bigint,j:int>>"))
+        for width, (low, high) in sorted(used.items())
+    ] or [F.array().cast("array<struct<gram:bigint,j:int>>")]
+    t = train.select("t", "m", F.explode(F.concat(*runs)).alias("x")).select("t", "m", "x.gram", "x.j")
     shift, delta = F.col("j") - F.col("p"), F.col("m") - F.col("n")
+    errors = F.floor(F.greatest("n", "m") / 5)
     met = e.join(t, "gram").where(
-        (F.col("e") != F.col("t"))
-        & (4 * F.greatest("n", "m") <= 5 * F.least("n", "m"))
-        & (F.abs(shift) <= F.col("i"))
-        & (F.abs(delta - shift) <= F.col("k") - F.col("i"))
+        (F.col("e") != F.col("t")) & (F.abs(delta) <= errors) & (F.abs(shift) + F.abs(delta - shift) <= errors)
     )
-    # Segments beyond the 63rd share a bit with the last: the count is then a lower bound, so those pairs need one.
+    # Segments beyond the 62nd share a bit: the count is then a lower bound, and such pairs need one segment only.
     bit = F.expr("shiftleft(1L, least(i, 62))")
-    need = F.col("k") + 1 - F.floor(F.greatest("n", "m") / 5)
+    k = F.floor(F.col("n") / 4)
     return (
-        met.groupBy("e", "t").agg(F.bit_or(bit).alias("bits"), F.first("k").alias("k"), F.first("n").alias("n"), F.first("m").alias("m"))
-        .where(F.bit_count("bits") >= F.when(F.col("k") < 62, need).otherwise(1))
+        met.groupBy("e", "t").agg(F.bit_or(bit).alias("bits"), F.first("n").alias("n"), F.first("m").alias("m"))
+        .where(F.bit_count("bits") >= F.when(k < 62, k + 1 - errors).otherwise(1))
         .select("e", "t")
     )
 

@@ -76,6 +76,29 @@ def test_overlaps_match_brute_force(spark, seed):
     assert sum(r.pairs for r in report) == len(got)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_overlaps_with_a_hot_phrase(spark, seed, monkeypatch):
+    """A phrase that most texts share is no key, and no pair is lost for it."""
+    monkeypatch.setattr(p01_split_overlap, "HOT_LEAST", 20)
+    rng = random.Random(seed)
+    phrase = "har kuni ertalab bizning dasturda".split()
+    data = []
+    for n in range(1, 130):
+        w = [rng.choice(WORDS) for _ in range(rng.choice([4, 6, 9, 12, 20]))]
+        at = rng.choice([0, 0, 2])
+        w[at:at] = phrase
+        if n > 40 and rng.random() < 0.6:
+            w = data[rng.randrange(30)][2].split()
+            for _ in range(rng.randrange(0, 4)):
+                w[rng.randrange(len(w))] = rng.choice(WORDS)
+        data.append((n, None, " ".join(w), rng.choice(["train", "train", "val"])))
+    assert sorted(tuple(r) for r in p01_split_overlap.overlaps(manifest(spark, data)).collect()) == overlaps_by_hand(data)
+    hot = frozenset(range(5))
+    grams = {3: [9, 0, 1, 8, 7, 6, 5], 2: [9] * 8, 1: [9] * 9}
+    assert p01_split_overlap.segments(9, grams, frozenset())[1] == [0, 3, 6]
+    assert p01_split_overlap.segments(9, {**grams, 3: [0] * 7}, hot)[0] == 2
+
+
 def test_overlaps_of_copies_and_of_nothing(spark):
     text = "bir ikki uch tort besh olti yetti"
     data = [(n, None, text, "train" if n % 10 else "val") for n in range(1, 101)]
