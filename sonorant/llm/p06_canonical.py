@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..runtime import cut
+
 # Letters of other scripts that look like a Latin one, each under the letter it looks like.
 LOOK_ALIKES = {
     "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜ",
@@ -235,7 +237,7 @@ def same_looking_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -
     few, and only then joined to their rows: copies of one string, however many,
     never meet each other. Null and blank texts do not count.
     """
-    rows = look_keys(df, key, text).withColumnRenamed(key, "id").where(F.col("id").isNotNull())
+    rows = cut(look_keys(df, key, text).withColumnRenamed(key, "id").where(F.col("id").isNotNull()))
     looks = rows.groupBy("look").agg(F.min("raw").alias("a"), F.max("raw").alias("b")).where(F.col("a") != F.col("b")).select("look")
     members = rows.join(looks, "look").select("look", "raw", "id").distinct()
     variants = members.select("look", "raw").distinct()
