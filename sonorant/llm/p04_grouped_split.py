@@ -65,14 +65,14 @@ def grouped_rows(manifest: DataFrame) -> DataFrame:
     between its recording and its speaker, and equal edges collapse before the
     components are sought. A row with neither is a component of its own.
     """
-    rows = manifest.select(
+    rows = cut(manifest.select(
         "line_number",
         split_name(F.col("split")).alias("split"),
         tidy(F.col("dataset")).alias("dataset"),
         F.coalesce(language_code(F.col("language")), F.lit("?")).alias("language"),
         F.concat(F.lit("r:"), recording_key(F.col("audio_id"))).alias("r"),
         F.concat(F.lit("s:"), speaker_key(F.col("speaker_id"))).alias("s"),
-    ).withColumn("entity", F.coalesce("r", "s", F.concat(F.lit("l:"), F.col("line_number").cast("string"))))
+    ).withColumn("entity", F.coalesce("r", "s", F.concat(F.lit("l:"), F.col("line_number").cast("string")))))
     edges = rows.where(F.col("r").isNotNull() & F.col("s").isNotNull()).select(F.col("r").alias("a"), F.col("s").alias("b"))
     of = connected_components(edges.distinct()).withColumnRenamed("node", "entity")
     return rows.join(of, "entity", "left").select(
