@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..config import LABELED_GATES, SSL_GATES, AudioQuality, Music, Overlap, QualityGates, Selection, SplitRatios, TextGates, TextNormalization, Vad
 from ..functions import signal
@@ -39,14 +42,15 @@ class Run:
 def _stage(rows: DataFrame, run: Run, kind: str, tail: str, one: Callable[[str, object], dict]) -> DataFrame:
     """A row of `kind` for each manifest row of the shard; errors become rows, unless fail_fast."""
     schema = f"{FEATURE_HEAD}, {tail}, {kind_id(kind)} string, {ERROR_TAIL}"
-    names = [c.split()[0] for c in _split_schema(schema)]
     optional = [c for c in ("dataset", "language", "split", "duration") if c in rows.columns]
     chosen = sharding.shard(rows, run.shard, run.shards, run.limit).select("line_number", "audio_id", "audio_path", *optional)
 
-    def work(frames):
-        for frame in frames:
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def work(batches):
+        for batch in batches:
             out = []
-            for r in frame.itertuples(index=False):
+            for r in map(lambda x: SimpleNamespace(**x), batch.to_pylist()):
                 row = {k: getattr(r, k, None) for k in optional if k != "duration"}
                 row |= {"audio_id": r.audio_id, "feature_type": kind, "feature_version": "1.0", "source_manifest": run.manifest,
                         "source_line_number": r.line_number, kind_id(kind): run.run_id}
@@ -57,9 +61,9 @@ def _stage(rows: DataFrame, run: Run, kind: str, tail: str, one: Callable[[str,
                     if run.fail_fast:
                         raise
                     out.append(row | {"status": "error", "audio_path": r.audio_path, "error_type": type(e).__name__, "error": str(e)})
-            yield pd.DataFrame(out, columns=names, dtype=object)
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return chosen.mapInPandas(work, schema)
+    return chosen.mapInArrow(work, schema)
 
 
 def kind_id(kind: str) -> str:
