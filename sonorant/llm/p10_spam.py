@@ -55,6 +55,9 @@ def fit(rows: list[tuple[str, str]]) -> ProseModel:
             hits = sorted((len(others.intersection(ws)), len(others.intersection(ws)) / max(1, len(ws))) for ws in lists)
             if hits[len(hits) // 50][0] >= 2:
                 break
+        cutoff = max(FUNCTION_DF, cutoff // 3)  # some rarer ones as well, for a margin
+        others = {w for w, n in df.items() if n > cutoff}
+        hits = sorted((len(others.intersection(ws)), len(others.intersection(ws)) / max(1, len(ws))) for ws in lists)
         words[language] = frozenset(w for w, n in df.items() if n >= cutoff)
         shares = sorted(share for _, share in hits)
         least[language] = min(0.2, max(0.05, shares[len(shares) // 50] / 2))
