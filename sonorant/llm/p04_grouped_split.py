@@ -101,7 +101,8 @@ def assign(manifest: DataFrame, ratios: dict[str, float] | None = None, salt: st
     stratum, the dataset and language of most of their rows, and the running
     count of rows is cut into proportional ranges. A component larger than half
     the smallest range goes to train first and the ranges shrink accordingly, so
-    no giant lands in a small split. The running count is taken over hash
+    no giant lands in a small split; what a giant takes beyond its stratum's
+    train share is spared in the other strata. The running count is taken over hash
     buckets first, so no stratum is sorted in one task.
     """
     ratios = ratios or RATIOS
@@ -126,18 +127,20 @@ def assign(manifest: DataFrame, ratios: dict[str, float] | None = None, salt: st
         F.sum(F.when(~F.col("giant"), F.col("n")).otherwise(0)).alias("rows"),
         F.sum(F.when(F.col("giant"), F.col("n")).otherwise(0)).alias("giants"),
     )
-    # At most 256 rows a stratum.
+    # At most 256 rows a stratum, and one row a stratum for the quotas.
     ordered = Window.partitionBy(*key).orderBy("bucket")
-    buckets = buckets.select(
-        *key, "bucket",
-        (F.sum("rows").over(ordered) - F.col("rows")).alias("before"),
-        F.sum("rows").over(Window.partitionBy(*key)).alias("plain"),
-        F.sum("giants").over(Window.partitionBy(*key)).alias("giants"),
-    )
+    strata = buckets.groupBy(*key).agg(F.sum("rows").alias("plain"), F.sum("giants").alias("giants"))
+    wanted = (F.col("plain") + F.col("giants")) * ratios["train"]
+    everywhere = Window.partitionBy(F.lit(1))
+    strata = strata.withColumn("quota", F.greatest(wanted - F.col("giants"), F.lit(0.0))).withColumn("excess", F.greatest(F.col("giants") - wanted, F.lit(0.0)))
+    # Rows that giants bring to train beyond their own stratum's share are taken off the other strata's shares.
+    spared = F.least(F.sum("excess").over(everywhere) / F.greatest(F.sum("quota").over(everywhere), F.lit(1.0)), F.lit(1.0))
+    strata = strata.select(*key, "plain", (F.col("quota") * (1 - spared)).alias("train"))
+    buckets = buckets.select(*key, "bucket", (F.sum("rows").over(ordered) - F.col("rows")).alias("before")).join(strata, key)
     inner = Window.partitionBy(*key, "bucket").orderBy("h", "component")
     plain = F.when(~F.col("giant"), F.col("n")).otherwise(0)
     middle = F.col("before") + F.sum(plain).over(inner) - plain / 2.0
-    train = F.greatest(F.col("total") * ratios["train"] - F.col("giants"), F.lit(0.0))
+    train = F.col("train")
     rest = F.col("plain") - train
     val = train + rest * (ratios["val"] / (ratios["val"] + ratios["test"]))
     split = F.when(F.col("giant") | (middle < train), "train").when(middle < val, "val").otherwise("test")
