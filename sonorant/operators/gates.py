@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..config import QualityGates, TextGates, TextNormalization
-from ..functions.text import normalize_text
+from ..config import QualityGates, TextGates
 
 
 def _over(value: Column, bound: float) -> Column:
@@ -48,11 +47,14 @@ def quality_reasons(duration: Column, sample_rate: Column, q: Column, o: Column,
     return out
 
 
-def text_reasons(text: Column, duration: Column, gates: TextGates = TextGates(), normalization: TextNormalization = TextNormalization()) -> list[Column]:
-    """Missing and empty texts stand alone; others by characters a second of their normalised text."""
+def text_reasons(text: Column, clean: Column, duration: Column, gates: TextGates = TextGates()) -> list[Column]:
+    """Missing and empty texts stand alone; others by characters a second of their normalised text `clean`.
+
+    Give `clean` as a column computed before, so that it is not computed once
+    for every reason.
+    """
     if not gates.require_text:
         return []
-    clean = normalize_text(text, normalization)
     rate = F.when(duration > 0, F.length(clean) / duration)
     present = text.isNotNull() & (clean != "")
     return [

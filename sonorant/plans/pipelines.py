@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..config import LABELED_GATES, SSL_GATES, AudioQuality, Music, Overlap, QualityGates, Selection, SplitRatios, TextGates, TextNormalization, Vad
 from ..functions import signal
 from ..functions.hashing import none_string
+from ..functions.text import normalize_text
 from ..operators import features, gates, selection, sharding, split
 from ..runtime import cut
 from ..schemas import ERROR_TAIL, FEATURE_HEAD, SEGMENTS
@@ -301,12 +302,12 @@ def run_labeled_split(manifest: DataFrame, quality: DataFrame | None, overlap: D
                       group: str = "speaker_id", strata: tuple[str, ...] = ("language", "dataset"), salt: str = "",
                       languages: tuple[str, ...] = (), normalization: TextNormalization = TextNormalization()) -> tuple[DataFrame, DataFrame]:
     """(assigned, rejected). Reasons: quality gates, then text gates, then language."""
-    joined = features.join_features(manifest, quality, overlap, music)
+    joined = features.join_features(manifest.withColumn("__clean", normalize_text(F.col("text"), normalization)), quality, overlap, music)
     reasons = gates.all_reasons(
         gates.quality_reasons(F.col("duration"), F.col("sample_rate"), F.col("q"), F.col("o"), F.col("m"), quality_gates),
-        gates.text_reasons(F.col("text"), F.col("duration"), text_gates, normalization),
+        gates.text_reasons(F.col("text"), F.col("__clean"), F.col("duration"), text_gates),
         gates.language_reason(F.col("language"), languages))
-    judged = cut(joined.withColumn("reject_reasons", reasons).drop("q", "o", "m"))
+    judged = cut(joined.withColumn("reject_reasons", reasons).drop("q", "o", "m", "__clean"))
     passing = judged.where(F.size("reject_reasons") == 0).drop("reject_reasons")
     rejected = judged.where(F.size("reject_reasons") > 0).select(
         none_string(F.col("audio_id")).alias("audio_id"), "reject_reasons", "duration", "language", "dataset")

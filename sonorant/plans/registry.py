@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..config import LABELED_GATES, SSL_GATES, Selection, SplitRatios, TextNormalization, Vad
 from ..functions import hashing, intervals, signal, text
 from ..operators import features, gates, music, report, selection, sharding, split
-from ..runtime import ensure_checkpoint_dir, table
+from ..runtime import ensure_checkpoint_dir, spread, table
 from ..scorers import EnergySpeech
 from ..sources import manifest as manifests
 from . import pipelines
@@ -87,21 +87,22 @@ def anti_missing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def normalized_text(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "labeled_manifest").select("line_number", text.normalize_text(F.col("text"), PLAIN).alias("normalized"))
+    return spread(table(spark, d, "labeled_manifest")).select("line_number", text.normalize_text(F.col("text"), PLAIN).alias("normalized"))
 
 
 def normalized_text_unicode(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "labeled_manifest").select("line_number", text.normalize_text(F.col("text")).alias("normalized"))
+    return spread(table(spark, d, "labeled_manifest")).select("line_number", text.normalize_text(F.col("text")).alias("normalized"))
 
 
 def normalized_text_options(spark: SparkSession, d: str) -> DataFrame:
     bare = TextNormalization(normalize_unicode=False, lowercase=False, remove_bracketed_text=False, remove_numbers=True, keep_word_apostrophe=False)
-    return table(spark, d, "documents").select("doc_id", text.normalize_text(F.col("text"), bare).alias("normalized"))
+    return spread(table(spark, d, "documents")).select("doc_id", text.normalize_text(F.col("text"), bare).alias("normalized"))
 
 
 def text_gate_reasons(spark: SparkSession, d: str) -> DataFrame:
-    reasons = gates.all_reasons(gates.text_reasons(F.col("text"), F.col("duration"), normalization=PLAIN))
-    return table(spark, d, "labeled_manifest").select("line_number", F.array_join(reasons, ",").alias("reasons"))
+    rows = spread(table(spark, d, "labeled_manifest")).withColumn("clean", text.normalize_text(F.col("text"), PLAIN))
+    reasons = gates.all_reasons(gates.text_reasons(F.col("text"), F.col("clean"), F.col("duration")))
+    return rows.select("line_number", F.array_join(reasons, ",").alias("reasons"))
 
 
 def labeled_assignment(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +116,7 @@ def labeled_split_assignment(spark: SparkSession, d: str) -> DataFrame:
 
 def labeled_split_counts(spark: SparkSession, d: str) -> DataFrame:
     """Gates, normalised text gates, split and counts: the labeled branch end to end."""
-    assigned, _ = pipelines.run_labeled_split(table(spark, d, "labeled_manifest"), None, None, quality_gates=OPEN_LABELED, salt="s1", normalization=PLAIN)
+    assigned, _ = pipelines.run_labeled_split(spread(table(spark, d, "labeled_manifest")), None, None, quality_gates=OPEN_LABELED, salt="s1", normalization=PLAIN)
     return split.split_counts(assigned, ["language"])
 
 

@@ -36,6 +36,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table just read, in partitions enough for all cores, before costly work on each row.
+
+    Only small inputs have fewer (a single small file is one partition); for any
+    other this is no operation, so a corpus is never shuffled by it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def global_row_numbers(df: DataFrame, order: list, number: str) -> DataFrame:
     """Number all rows 0, 1, 2 ... in a total order without bringing them into one task.
 

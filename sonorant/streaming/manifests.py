@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import LABELED_GATES, QualityGates, TextGates
+from ..functions.text import normalize_text
 from ..operators import gates
 from ..operators.features import MUSIC, OVERLAP, QUALITY
 
@@ -20,8 +21,8 @@ def judged_stream(spark: SparkSession, folder: str, schema: str, quality_gates:
     own = QualityGates(**{**quality_gates.__dict__, "require_quality": False, "require_overlap": False, "require_music": False})
     reasons = gates.all_reasons(
         gates.quality_reasons(F.col("duration"), F.col("sample_rate"), nothing["q"], nothing["o"], nothing["m"], own),
-        gates.text_reasons(F.col("text"), F.col("duration"), text_gates))
-    return rows.withColumn("reject_reasons", reasons)
+        gates.text_reasons(F.col("text"), F.col("__clean"), F.col("duration"), text_gates))
+    return rows.withColumn("__clean", normalize_text(F.col("text"))).withColumn("reject_reasons", reasons).drop("__clean")
 
 
 def reason_counts(judged: DataFrame, time: str, window: str = "1 hour", late: str = "1 day") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from sonorant import cli
 from sonorant.config import QualityGates, Selection, SplitRatios
+from sonorant.functions.text import normalize_text
 from sonorant.operators import features, gates, report, selection, sharding, split
 from sonorant.plans import pipelines, registry
 from sonorant.scorers import EnergySpeech, FlatnessMusic, NoOverlap
@@ -40,7 +41,7 @@ def test_gates(spark):
 
 def test_text_and_language_gates(spark):
     df = spark.createDataFrame([(None, 5.0, "uz"), ("!!!", 5.0, "ru"), ("salom", 0.1, None), ("salom dunyo", 30.0, "en"), ("salom dunyo", 2.0, "uz"), ("x", None, "uz"), ("x", 0.0, "uz")], "t string, d double, l string")
-    got = [r[0] for r in df.select(gates.all_reasons(gates.text_reasons(F.col("t"), F.col("d")), gates.language_reason(F.col("l"), ("uz", "ru")))).collect()]
+    got = [r[0] for r in df.select(gates.all_reasons(gates.text_reasons(F.col("t"), normalize_text(F.col("t")), F.col("d")), gates.language_reason(F.col("l"), ("uz", "ru")))).collect()]
     assert got == [["missing_text"], ["empty_text"], ["text_too_dense", "language"], ["text_too_sparse", "language"], [], [], []]
     hist = {r.reason: r.n for r in gates.histogram(spark.createDataFrame([(["a", "b"],), (["a"],), ([],)], "reject_reasons array<string>")).collect()}
     assert hist == {"a": 2, "b": 1}
