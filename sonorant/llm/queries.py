@@ -6,26 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..runtime import table
+from ..runtime import spread, table
 from . import p01_split_overlap, p02_language, p03_leximin, p04_grouped_split, p05_contributor_cap, p06_canonical, p07_stable_sample, p08_tokenize, p09_packing, p10_spam
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return p01_split_overlap.overlaps(table(spark, d, "labeled_manifest"))
+    return p01_split_overlap.overlaps(spread(table(spark, d, "labeled_manifest")))
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
-    return p01_split_overlap.report(table(spark, d, "labeled_manifest"))
+    return p01_split_overlap.report(spread(table(spark, d, "labeled_manifest")))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return p02_language.wrong_labels(
-        table(spark, d, "documents"), table(spark, d, "labeled_manifest"), table(spark, d, "language_seed"))
+        spread(table(spark, d, "documents")), spread(table(spark, d, "labeled_manifest")), table(spark, d, "language_seed"))
 
 
 def p2_labels(spark: SparkSession, d: str) -> DataFrame:
     return p02_language.all_labels(
-        table(spark, d, "documents"), table(spark, d, "labeled_manifest"), table(spark, d, "language_seed"))
+        spread(table(spark, d, "documents")), spread(table(spark, d, "labeled_manifest")), table(spark, d, "language_seed"))
 
 
 def p3_ranking(spark: SparkSession, d: str) -> DataFrame:
@@ -49,13 +49,13 @@ def p5_kept(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return p06_canonical.same_looking_pairs(table(spark, d, "documents"))
+    return p06_canonical.same_looking_pairs(spread(table(spark, d, "documents")))
 
 
 def p6_texts(spark: SparkSession, d: str) -> DataFrame:
-    documents = p06_canonical.canonicalize(table(spark, d, "documents"), "doc_id").select(
+    documents = p06_canonical.canonicalize(spread(table(spark, d, "documents")), "doc_id").select(
         F.lit("documents").alias("record_table"), F.col("doc_id").alias("record_id"), "text")
-    manifest = p06_canonical.canonicalize(table(spark, d, "labeled_manifest"), "line_number").select(
+    manifest = p06_canonical.canonicalize(spread(table(spark, d, "labeled_manifest")), "line_number").select(
         F.lit("labeled_manifest").alias("record_table"), F.col("line_number").alias("record_id"), "text")
     return documents.unionByName(manifest)
 
@@ -69,11 +69,11 @@ def p7_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return p08_tokenize.encode(table(spark, d, "documents"), "doc_id")
+    return p08_tokenize.encode(spread(table(spark, d, "documents")), "doc_id")
 
 
 def p9_containers(spark: SparkSession, d: str) -> DataFrame:
-    return p09_packing.pack_documents(table(spark, d, "documents"))
+    return p09_packing.pack_documents(spread(table(spark, d, "documents")))
 
 
 def p9_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -81,11 +81,11 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return p10_spam.spam(table(spark, d, "documents"), table(spark, d, "language_seed"))
+    return p10_spam.spam(spread(table(spark, d, "documents")), table(spark, d, "language_seed"))
 
 
 def p10_shares(spark: SparkSession, d: str) -> DataFrame:
-    return p10_spam.spam_shares(table(spark, d, "documents"), table(spark, d, "language_seed"))
+    return p10_spam.spam_shares(spread(table(spark, d, "documents")), table(spark, d, "language_seed"))
 
 
 QUERIES = (
