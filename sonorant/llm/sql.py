@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .ids import NO_SPEAKER
+from .p06_canonical import APOSTROPHES, LOOK_ALIKES
 from .p07_stable_sample import RATE, SALT, threshold_digits
 
 _TIDY = r"regexp_replace(lower(regexp_replace({0}, '^[\s\x{{a0}}\x{{200b}}-\x{{200f}}\x{{feff}}]+|[\s\x{{a0}}\x{{200b}}-\x{{200f}}\x{{feff}}]+$', '', 'g')), '^.*[/\\]', '')"
@@ -26,7 +28,37 @@ _SOURCES = f"""
     FROM clips WHERE source IS NOT NULL)
 """
 
+# Full width to plain, blanks to spaces, apostrophe-like signs and look-alike letters: the mappings of the operator, made from its tables.
+_FROM = "".join(map(chr, range(0xFF01, 0xFF5F))) + APOSTROPHES.replace("'", "") + "".join(LOOK_ALIKES.values())
+_TO = "".join(map(chr, range(0x21, 0x7F))) + "'" * (len(APOSTROPHES) - 1) + "".join(k * len(v) for k, v in LOOK_ALIKES.items())
+
+
+def _look(column: str) -> str:
+    seen = rf"regexp_replace({column}, '[\x{{00}}-\x{{08}}\x{{0e}}-\x{{1f}}\x{{7f}}-\x{{84}}\x{{86}}-\x{{9f}}\x{{fe00}}-\x{{fe0f}}]|\p{{Cf}}', '', 'g')"
+    mapped = f"translate(nfc_normalize({seen}), '{_FROM.replace(chr(39), chr(39) * 2)}', '{_TO.replace(chr(39), chr(39) * 2)}')"
+    wide = mapped
+    # Ligatures, and composed letters whose base is a look-alike.
+    for old, new in (("ﬁ", "fi"), ("ﬂ", "fl"), ("…", "..."), ("\u045e", "y\u0306"), ("\u040e", "Y\u0306"), ("\u0451", "e\u0308"), ("\u0401", "E\u0308")):
+        wide = f"replace({wide}, '{old}', '{new}')"
+    return rf"trim(regexp_replace(nfc_normalize({wide}), '[\s\p{{Z}}\x{{85}}\x{{0b}}]+', ' ', 'g'))"
+
+
+_REC = r"^([a-z][a-z_]*?)[_-]([0-9a-f]{6,})([_.-].*)?$"
+
 SQL = {
+    "p4_found": f"""
+WITH RECURSIVE base AS (
+  SELECT line_number AS line, {_clip('audio_id')} AS clip, lower(trim(speaker_id)) AS who, lower(trim(split)) AS s FROM labeled_manifest),
+rows AS (
+  SELECT line, CASE WHEN s LIKE '%train%' THEN 'train' WHEN s LIKE '%test%' THEN 'test' WHEN s LIKE '%dev%' OR s LIKE '%val%' THEN 'val' END AS part,
+    CASE WHEN regexp_matches(clip, '{_REC}') THEN regexp_extract(clip, '{_REC}', 1) || '_' || regexp_extract(clip, '{_REC}', 2) ELSE clip END AS rec,
+    CASE WHEN who NOT IN ({", ".join("'" + x + "'" for x in NO_SPEAKER)}) THEN who END AS who
+  FROM base),
+e AS MATERIALIZED (SELECT line, 'r' || rec AS ent FROM rows WHERE rec IS NOT NULL UNION SELECT line, 's' || who FROM rows WHERE who IS NOT NULL),
+near AS MATERIALIZED (SELECT DISTINCT a.line AS x, b.line AS y FROM e a JOIN e b ON a.ent = b.ent),
+reach AS (SELECT line AS x, line AS y FROM rows UNION SELECT r.x, n.y FROM reach r JOIN near n ON n.x = r.y)
+SELECT x AS line_number, min(y) AS group_line FROM reach JOIN rows ON rows.line = reach.y GROUP BY x HAVING count(DISTINCT part) > 1
+""",
     "p3_ranking": """
 WITH q0 AS (
   SELECT audio_id, quality_run_id AS run,
@@ -71,6 +103,10 @@ FROM v
 """,
     "p5_found": f"WITH {_SOURCES} SELECT audio_id FROM placed WHERE place > 20",
     "p5_kept": f"WITH {_SOURCES} SELECT audio_id, source, score, place::INTEGER AS place FROM placed WHERE place <= 20",
+    "p6_found": f"""
+WITH k AS (SELECT doc_id, text, {_look('text')} AS look FROM documents WHERE text IS NOT NULL)
+SELECT a.doc_id AS doc_lo, b.doc_id AS doc_hi FROM k a JOIN k b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text WHERE a.look <> ''
+""",
     "p7_sample": f"""
 SELECT 'ssl_candidates' AS record_table, audio_id, {_clip('audio_id')} AS clip, delivered_at FROM ssl_candidates
 WHERE substr(sha256('{SALT}|' || {_clip('audio_id')}), 1, 16) < '{threshold_digits(RATE)}'
