@@ -15,6 +15,19 @@ def shard(manifest: DataFrame, index: int, count: int, limit: int | None = None)
     return rows if limit is None else rows.orderBy("line_number").limit(limit)
 
 
+def shard_totals(manifest: DataFrame, index: int, count: int, limit: int | None = None) -> DataFrame:
+    """(num_input_rows, num_processed_rows, num_skipped_shard_rows) of a scan that stops at the first row of its shard beyond the limit."""
+    mine = (F.col("line_number") - 1) % count == index
+    rows = manifest.select("line_number", mine.alias("mine"))
+    if limit is not None:
+        # The row that stops the scan: at most limit + 1 rows are looked at.
+        beyond = rows.where("mine").orderBy("line_number").limit(limit + 1).agg(
+            F.when(F.count("*") > limit, F.max("line_number")).alias("stop"))
+        rows = rows.crossJoin(F.broadcast(beyond)).where(F.col("stop").isNull() | (F.col("line_number") < F.col("stop")))
+    return rows.agg(
+        F.count("*").alias("num_input_rows"), F.count_if("mine").alias("num_processed_rows"), F.count_if(~F.col("mine")).alias("num_skipped_shard_rows"))
+
+
 def resolve_path(path: Column, folder: str) -> Column:
     """An absolute path as it is, a relative one under the manifest's folder."""
     return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path))

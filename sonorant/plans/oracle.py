@@ -202,6 +202,10 @@ SQL = {
     "level_round_trip": """SELECT audio_id, computed_at, round(20 * log10(greatest(pow(10.0::DOUBLE, peak_dbfs / 20), 1e-12)), 6) AS level
       FROM quality_features WHERE status = 'ok'""",
     "shard_and_limit": "SELECT line_number, audio_id FROM labeled_manifest WHERE (line_number - 1) % 3 = 1 ORDER BY line_number LIMIT 100",
+    "shard_totals": """WITH m AS (SELECT line_number, (line_number - 1) % 3 = 1 AS mine FROM labeled_manifest),
+      b AS (SELECT CASE WHEN count(*) > 100 THEN max(line_number) END AS stop FROM (SELECT line_number FROM m WHERE mine ORDER BY line_number LIMIT 101))
+      SELECT count(*) AS num_input_rows, count(*) FILTER (mine) AS num_processed_rows, count(*) FILTER (NOT mine) AS num_skipped_shard_rows
+      FROM m, b WHERE stop IS NULL OR line_number < stop""",
     "run_totals": f"""SELECT count(*) AS num_rows, count(*) FILTER (status = 'ok') AS num_ok, count(*) FILTER (status <> 'ok') AS num_errors,
       round(coalesce(sum({_SECONDS}) FILTER (status = 'ok'), 0), 3) AS audio_duration,
       round(avg(quality_score) FILTER (status = 'ok' AND NOT isnan(quality_score)), 6) AS mean_score FROM quality_features""",

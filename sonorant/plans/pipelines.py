@@ -201,12 +201,15 @@ def vad_summary(rows: DataFrame, spans: DataFrame, run: Run, model: str, config:
     d, k = F.col("s.duration"), F.coalesce(F.col("kept"), F.lit(0.0))
     ok = F.col("s.error_type").isNull()
     when_ok = lambda c: F.when(ok, c)
+    have = set(rows.columns)
+    source = lambda c, kind: when_ok((F.col(f"r.{c}") if c in have else F.lit(None)).cast(kind))
     return (
         rows.alias("r").join(spans.alias("s"), "line_number").join(pieces.alias("p"), "line_number", "left").select(
             F.col("r.audio_id").alias("audio_id"), F.when(ok, "ok").otherwise("error").alias("status"), F.lit(run.manifest).alias("source_manifest"),
             F.col("line_number").alias("source_line_number"),
             F.when(ok, sharding.resolve_path(F.col("r.audio_path"), run.folder)).otherwise(F.col("r.audio_path")).alias("audio_path"),
-            when_ok(F.round(d, 3)).alias("duration"), when_ok(F.col("s.sample_rate")).alias("sample_rate"),
+            source("dataset", "string").alias("dataset"), source("language", "string").alias("language"),
+            when_ok(F.round(d, 3)).alias("duration"), source("duration", "double").alias("metadata_duration"), when_ok(F.col("s.sample_rate")).alias("sample_rate"),
             when_ok(F.coalesce("num_vad_segments", F.lit(0))).alias("num_vad_segments"), when_ok(F.round(k, 3)).alias("vad_kept_duration"),
             when_ok(F.when(d > 0, F.round(k / d, 6)).otherwise(0.0)).alias("vad_kept_ratio"),
             when_ok(F.round(F.greatest(d - k, F.lit(0.0)), 3)).alias("vad_dropped_duration"),

@@ -253,6 +253,10 @@ def shard_and_limit(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard(table(spark, d, "labeled_manifest"), 1, 3, 100).select("line_number", "audio_id")
 
 
+def shard_totals(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.shard_totals(table(spark, d, "labeled_manifest"), 1, 3, 100)
+
+
 def run_totals(spark: SparkSession, d: str) -> DataFrame:
     return report.run_totals(table(spark, d, "quality_features"), "quality_score")
 
@@ -294,7 +298,7 @@ QUERIES = (
     normalized_text_unicode, normalized_text_options, feature_last_wins, shard_union, anti_missing, selection_score, source_cap, hours_budget, ssl_selection,
     selected_by_language_dataset, selected_hours, stable_hash, split_long_segments, vad_source_summary, clip_manifest, materialized_slices,
     overlap_features, overlap_corpus_ratio, music_clip_rollup, music_totals, music_top_labels, music_windows_padded, label_index,
-    quality_metrics_mono, quality_score, level_round_trip, shard_and_limit, run_totals, path_resolution, error_rows, jsonl_roundtrip, energy_vad_segments,
+    quality_metrics_mono, quality_score, level_round_trip, shard_and_limit, shard_totals, run_totals, path_resolution, error_rows, jsonl_roundtrip, energy_vad_segments,
 )
 
 

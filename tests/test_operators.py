@@ -103,6 +103,25 @@ def test_shard_limit(spark):
             sharding.shard(df, *bad)
 
 
+def test_shard_totals(spark):
+    df = spark.range(1, 21).withColumnRenamed("id", "line_number")
+
+    def by_hand(index, count, limit):
+        seen = done = skipped = 0
+        for n in range(1, 21):
+            if limit and done >= limit and (n - 1) % count == index:
+                break
+            seen += 1
+            if (n - 1) % count == index:
+                done += 1
+            else:
+                skipped += 1
+        return seen, done, skipped
+
+    for args in ((0, 3, 2), (2, 3, 2), (1, 3, None), (1, 3, 50), (0, 1, 20)):
+        assert tuple(sharding.shard_totals(df, *args).first()) == by_hand(*args)
+
+
 def test_manifest_lines_and_errors(spark, tmp_path):
     path = tmp_path / "m.jsonl"
     path.write_text('{"audio_id":"a","duration":"4.5","extra":[1]}\n\n  \n{"audio_id":"ў","duration":"x"}\n' + "".join(f'{{"audio_id":"n{i}"}}\n' for i in range(3000)), encoding="utf-8")
@@ -119,7 +138,7 @@ def test_manifest_lines_and_errors(spark, tmp_path):
         with pytest.raises(Exception, match="line 2"):
             manifest.read_manifest(spark, str(path), "audio_id string").collect()
     assert manifest.write_jsonl(spark.createDataFrame([("a", None)], "x string, y double"), str(tmp_path / "out")) == 1
-    assert '"y":null' in next((tmp_path / "out").glob("part*")).read_text()
+    assert '"y":null' in "".join(p.read_text() for p in (tmp_path / "out").glob("part*"))
     manifest.write_json(str(tmp_path / "r.json"), {"ў": 1})
     assert json.loads((tmp_path / "r.json").read_text(encoding="utf-8")) == {"ў": 1} and not list(tmp_path.glob("*.tmp"))
 
@@ -142,6 +161,7 @@ def test_stages_end_to_end(spark, corpus):
     segments, summary = pipelines.run_vad(rows, run, EnergySpeech())
     assert [(s.segment_id, s.vad_duration) for s in segments.orderBy("segment_id").collect()] == [("a_vad_00000_00", 4.6), ("a_vad_00001_00", 4.6)]
     by = {s.audio_id: s for s in summary.collect()}
+    assert (by["a"].dataset, by["a"].metadata_duration, by["gone"].dataset) == ("d", 12.0, None)
     assert by["a"].num_vad_segments == 2 and by["a"].vad_kept_duration == 9.2 and by["gone"].error_type == "FileNotFoundError"
     clips = pipelines.materialize(segments, str(corpus / "clips")).collect()
     assert {c.outcome for c in clips} == {"written"} and all(abs(c.duration - 4.6) < 1e-6 for c in clips)
