@@ -105,14 +105,15 @@ class LanguageModel:
         return out
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all characters, their text, and whether a sentence ends there; runs of word ends are one."""
+def _codes(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Classes of all characters, their text, whether a sentence ends there, and their place in the text."""
     lengths = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     seen = ~np.isin(points, _SKIP)
-    points, owner = points[seen], owner[seen]
-    return classes_of(points), owner, np.isin(points, _ENDS)
+    points, owner, place = points[seen], owner[seen], place[seen]
+    return classes_of(points), owner, np.isin(points, _ENDS), place
 
 
 def _squeeze(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +137,7 @@ def fit(rows: list[tuple[str, str]]) -> LanguageModel:
     """
     rows = [(language, text) for language, text in rows if language and text]
     languages = sorted({r[0] for r in rows})
-    codes, owner, _ = _codes([" " + t for _, t in rows])
+    codes, owner, _, _ = _codes([" " + t for _, t in rows])
     keys = gram_keys(*_squeeze(codes, owner))
     x = np.zeros((len(rows), 1 << BITS), np.float32)
     x[keys >> BITS, keys & ((1 << BITS) - 1)] = 1
@@ -158,38 +159,42 @@ def seed_rows(seeds: DataFrame) -> list[tuple[str, str]]:
     return [(r[0], r[1]) for r in rows]
 
 
-def segments(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
-    """Pieces of all texts in order: (text, language index, confidence, words, sentences).
+def pieces(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
+    """Pieces of all texts in order: (text, language index, confidence, words, sentence, start).
 
     A piece is a sentence, or PIECE_WORDS words of one without an end. Pieces of
-    fewer than four words take the language of the piece before.
+    fewer than four words say little: they take the language of the last longer
+    piece of their text.
     """
-    codes, owner, ends = _codes([" " + t for t in texts])
-    n = len(codes)
-    if not n:
+    codes, owner, ends, place = _codes([" " + t for t in texts])
+    if not len(codes):
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.float32), none, none
+        return none, none, none.astype(np.float32), none, none, none
     word_start = (codes > 0) & np.concatenate(([True], (codes[:-1] == 0) | (owner[1:] != owner[:-1])))
     # A sentence begins after an end, or with a text.
     cut = np.concatenate(([True], (ends[:-1]) | (owner[1:] != owner[:-1])))
     sentence = np.cumsum(cut) - 1
     words = np.cumsum(word_start)
     first = words[np.flatnonzero(cut)] - word_start[np.flatnonzero(cut)]
-    place = words - first[sentence]  # words of the sentence so far
+    nth = words - first[sentence]  # words of the sentence so far
     # Long sentences are cut at a word start every PIECE_WORDS words.
-    cut |= word_start & (place > 1) & ((place - 1) % PIECE_WORDS == 0)
+    cut |= word_start & (nth > 1) & ((nth - 1) % PIECE_WORDS == 0)
     piece = np.cumsum(cut) - 1
-    pieces = int(piece[-1]) + 1
-    count = np.bincount(piece[word_start], minlength=pieces)
+    number = int(piece[-1]) + 1
+    count = np.bincount(piece[word_start], minlength=number)
     starts = np.flatnonzero(cut)
-    of, whole = owner[starts], sentence[starts]
-    scores = model.scores(gram_keys(*_squeeze(codes, piece)), pieces)
-    order = np.sort(scores, axis=1)
+    scores = model.scores(gram_keys(*_squeeze(codes, piece)), number)
     best = scores.argmax(1)
-    e = np.exp((scores - order[:, -1:]) / TEMPERATURE)
-    confidence = (1 / e.sum(1)).astype(np.float32)
+    confidence = (1 / np.exp((scores - scores.max(1, keepdims=True)) / TEMPERATURE).sum(1)).astype(np.float32)
     keep = count > 0
-    return of[keep], best[keep], confidence[keep], count[keep], whole[keep]
+    of, best, confidence, count = owner[starts][keep], best[keep], confidence[keep], count[keep]
+    firm = np.where(count >= 4, np.arange(len(of)), -1)
+    last = np.maximum.accumulate(firm)
+    follow = (firm < 0) & (last >= 0)
+    follow[follow] = of[last[follow]] == of[follow]
+    best[follow] = best[last[follow]]
+    # The space put in front of each text is no part of it.
+    return of, best, confidence, count, sentence[starts][keep], np.maximum(place[starts][keep] - 1, 0)
 
 
 def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tuple[str, float, int, int]]]:
@@ -199,18 +204,10 @@ def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tupl
     piece of a sentence with an end counts as one whole sentence if it is the
     whole sentence, or long enough to be one.
     """
-    of, best, confidence, count, sentence = segments(texts, model)
+    of, best, confidence, count, sentence, _ = pieces(texts, model)
     out: list[list[tuple[str, float, int, int]]] = [[] for _ in texts]
     if not len(of):
         return out
-    # Short pieces say little: they follow the last longer piece of their text.
-    index = np.arange(len(of))
-    firm = np.where(count >= 4, index, -1)
-    last = np.maximum.accumulate(firm)
-    follow = (firm < 0) & (last >= 0)
-    follow[follow] = of[last[follow]] == of[index[follow]]
-    best = best.copy()
-    best[follow] = best[last[follow]]
     new = np.concatenate(([True], (of[1:] != of[:-1]) | (best[1:] != best[:-1]) | (sentence[1:] != sentence[:-1])))
     starts = np.flatnonzero(new)
     total = np.add.reduceat(count, starts)
@@ -231,6 +228,30 @@ def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tupl
     return out
 
 
+def segments_of_texts(texts: list[str], model: LanguageModel) -> list[list[tuple[int, int, str, float]]]:
+    """For each text its stretches of one language: (start, end, language, confidence), whole sentences, end to end.
+
+    Within a sentence the language of most of its words counts, so that a quoted
+    phrase opens no stretch of its own.
+    """
+    of, best, confidence, count, sentence, start = pieces(texts, model)
+    out: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
+    if not len(of):
+        return out
+    k = len(model.languages)
+    order = np.unique(sentence, return_inverse=True)[1]
+    votes = np.bincount(order * k + best, count, (order.max() + 1) * k).reshape(-1, k)
+    best = np.where(count > 0, votes.argmax(1)[order], best)
+    new = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (best[1:] != best[:-1]))))
+    sure = np.add.reduceat(confidence * count, new) / np.add.reduceat(count, new)
+    for at, i in enumerate(new.tolist()):
+        text = int(of[i])
+        following = at + 1 < len(new) and of[new[at + 1]] == text
+        end = int(start[new[at + 1]]) if following else len(texts[text])
+        out[text].append((int(start[i]) if out[text] else 0, end, model.languages[best[i]], float(sure[at])))
+    return out
+
+
 _RESULT = "record_table string, record_id bigint, language string, confidence double, mixed boolean"
 
 
@@ -265,6 +286,43 @@ def label_records(records: DataFrame, seeds: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, _RESULT)
 
 
+def mixed_segments(documents: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(doc_id, segment, first, last, language, confidence) of mixed documents: characters [first, last) of each stretch.
+
+    The stretches of a document cover it in order. Documents in one language,
+    spam, short, blank and null texts give none.
+    """
+    rows = seed_rows(seeds)
+    models = documents.sparkSession.sparkContext.broadcast((fit(rows), fit_prose(rows)))
+
+    def run(batches):
+        model, prose = models.value
+        for batch in batches:
+            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            start = 0
+            while start < len(texts):
+                stop, held = start, 0
+                while stop < len(texts) and held < BLOCK:
+                    held += len(texts[stop])
+                    stop += 1
+                part = texts[start:stop]
+                mixed = [
+                    i for i, langs in enumerate(languages_of_texts(part, model))
+                    if sum(x[3] >= SENTENCES for x in langs) > 1 and spam_share(part[i], prose) <= SPAM_SHARE
+                ]
+                for i, found in zip(mixed, segments_of_texts([part[i] for i in mixed], model)):
+                    for n, segment in enumerate(found):
+                        for column, value in zip(out, (keys[start + i], n, *segment)):
+                            column.append(value)
+                start = stop
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "segment", "first", "last", "language", "confidence"])
+
+    chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return chosen.mapInArrow(run, "doc_id bigint, segment int, first int, last int, language string, confidence double")
+
+
 def _label_block(tables, ids, texts, may, model: LanguageModel, prose: ProseModel) -> pa.RecordBatch:
     found = languages_of_texts([t or "" for t in texts], model)
     out: tuple[list, ...] = ([], [], [], [], [])

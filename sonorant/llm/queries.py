@@ -28,6 +28,10 @@ def p2_labels(spark: SparkSession, d: str) -> DataFrame:
         spread(table(spark, d, "documents")), spread(table(spark, d, "labeled_manifest")), table(spark, d, "language_seed"))
 
 
+def p2_segments(spark: SparkSession, d: str) -> DataFrame:
+    return p02_language.mixed_segments(spread(table(spark, d, "documents")), table(spark, d, "language_seed"))
+
+
 def p3_ranking(spark: SparkSession, d: str) -> DataFrame:
     return p03_leximin.rank_clips(table(spark, d, "quality_features"), table(spark, d, "overlap_features"))
 
@@ -89,7 +93,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    p1_found, p1_report, p2_found, p2_labels, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids, p9_containers, p9_fill,
+    p1_found, p1_report, p2_found, p2_labels, p2_segments, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids, p9_containers, p9_fill,
     p10_found, p10_shares,
 )
 

@@ -234,6 +234,21 @@ def test_labels(spark, seeds):
     assert p02_language.wrong_labels(documents.limit(0), lines.limit(0), seeds).count() == 0
 
 
+def test_segments_of_mixed_documents(spark, seeds):
+    rows = p02_language.seed_rows(seeds)
+    by = {}
+    for language, text in rows:
+        by.setdefault(language, []).append(text.rstrip(".") + ".")
+    quoted = by["ru"][5].rstrip(".") + " («thank you»)."
+    parts = [" ".join(by["ru"][:3]), " ".join(by["en"][:2]), " ".join([*by["ru"][3:5], quoted])]
+    whole = " ".join(parts)
+    df = spark.createDataFrame([(1, whole, "x"), (2, parts[0], "x"), (3, None, "x"), (4, "", "x")], "doc_id bigint, text string, segment string")
+    got = sorted(p02_language.mixed_segments(df, seeds).collect(), key=lambda r: r.segment)
+    assert [(r.doc_id, r.language) for r in got] == [(1, "ru"), (1, "en"), (1, "ru")]
+    assert [whole[r.first : r.last].strip() for r in got] == parts and all(0.5 < r.confidence <= 1 for r in got)
+    assert p02_language.mixed_segments(df.limit(0), seeds).count() == 0
+
+
 def test_spam(spark, seeds):
     sentences = [r.text.rstrip(".") + "." for r in seeds.where("language = 'uz'").orderBy("seed_id").limit(12).collect()]
     prose = "\n".join(sentences)
