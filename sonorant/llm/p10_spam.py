@@ -79,13 +79,14 @@ def features(text: str | None, model: ProseModel) -> dict:
     words of one language for its length, calibrated on that language's
     sentences. Neighbouring other units form a run, and a run is keywords if
     its most repeated words make up most of it, if it lacks function words, or
-    if words or word pairs repeat among dense separators, codes and numbers.
-    Repeated sentences are prose however often they come.
+    if words repeat along with word pairs or whole units or among dense
+    separators, codes and numbers. Repeated sentences are prose however often
+    they come, and replies under speakers' labels are speech.
     """
     out = {"total": 0, "links": 0, "keywords": 0, "prose": 0}
     if not text:
         return out
-    runs: list[list] = []  # [characters, words, separators, digits]
+    runs: list[list] = []  # [characters, words, separators, digits, units, units with a speaker's label]
     open_run: list | None = None
     shown = plain(text)
     has_links = "http" in shown or "www." in shown
@@ -104,7 +105,7 @@ def features(text: str | None, model: ProseModel) -> dict:
             elif len(words) > 12 * len(links):
                 # Many words beside few links are judged as a run of words.
                 out["links"] += linked
-                runs.append([size - linked, words, len(_SEPARATORS.findall(rest)), 0])
+                runs.append([size - linked, words, len(_SEPARATORS.findall(rest)), 0, [rest], 0])
             else:
                 out["links"] += size
             continue
@@ -114,32 +115,36 @@ def features(text: str | None, model: ProseModel) -> dict:
                 out["prose"] += chars
                 open_run = None
                 continue
-            words = _WORD.findall(_TAG_CODE.sub("", unit[_LEAD.match(unit).end() :]))
+            lead = _LEAD.match(unit)
+            words = _WORD.findall(_TAG_CODE.sub("", unit[lead.end() :]))
             if _prose(words, model):
                 out["prose"] += chars
                 open_run = None
                 continue
             if open_run is None:
-                open_run = [0, [], 0, 0]
+                open_run = [0, [], 0, 0, [], 0]
                 runs.append(open_run)
             open_run[0] += chars
             open_run[1] += words
             open_run[2] += len(_SEPARATORS.findall(unit))
             open_run[3] += sum(map(str.isdigit, unit))
+            open_run[4].append(unit.strip())
+            open_run[5] += lead[0].rstrip().endswith(":")
     if not runs:
         return out
     counts = Counter(w for r in runs for w in r[1])
-    for chars, words, separators, digits in runs:
+    for chars, words, separators, digits, units, spoken in runs:
         n = len(words)
-        if n < RUN_WORDS:
+        if n < RUN_WORDS or 2 * spoken > len(units):
             continue
         own = Counter(words)
         repeated = sum(k for w, k in own.items() if counts[w] >= 3) / n
         pairs = Counter(zip(words, words[1:]))
         paired = sum(k for k in pairs.values() if k >= 2) / (n - 1)
+        doubled = 1 - len(set(units)) / len(units)
         dense = separators / n >= 0.15 or digits / max(1, chars) >= 0.15
         bare = (dense or n >= LONG_RUN) and _function_share(own, n, model) < 0.5
-        if repeated >= 0.6 or bare or (repeated >= 0.35 and (dense or paired >= 0.3)):
+        if repeated >= 0.6 or bare or (repeated >= 0.35 and (dense or paired >= 0.3 or doubled >= 0.3)):
             out["keywords"] += chars
     return out
 

@@ -258,7 +258,7 @@ def test_spam(spark, seeds):
         (10, ", ".join(f"#kitob{i}larga" for i in range(60))), (11, sentences[0] + "\n" + "\n".join(f"* kitob narxi {i}000" for i in range(60))),
         (12, "\n".join(f"- {s}" for s in sentences)), (13, prose + "\n" + ", ".join(["kitob arzon"] * 6)), (14, "x" * 100_000),
         (15, "\n".join(f'<a href="http://x.test/{i}">kitob narxi</a>' for i in range(30))), (8, " ".join(["kitob arzon", "kitob chegirma", "narxi kitob"] * 30)),
-        (16, prose.lower().replace(".", "").replace("\n", " ") * 4),
+        (17, "\n".join(["Mijoz: ha, ha.", "Operator: xo'p."] * 40)), (16, prose.lower().replace(".", "").replace("\n", " ") * 4),
     ]
     df = spark.createDataFrame([(i, t, 0.0) for i, t in data], "doc_id bigint, text string, share double")
     assert sorted(r.doc_id for r in p10_spam.spam(df, seeds).collect()) == [8, 8, 9, 10, 11, 15]
