@@ -218,7 +218,7 @@ def music_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def music_top_labels(spark: SparkSession, d: str) -> DataFrame:
-    scores = table(spark, d, "embeddings").select(F.col("label").alias("clip"), F.posexplode(F.slice("embedding", 1, 8)).alias("label_idx", "x"))
+    scores = table(spark, d, "embeddings").select(F.col("label").alias("clip"), F.posexplode("embedding").alias("label_idx", "x"))
     return music.top_labels(scores.withColumn("p", music.sigmoid(F.col("x").cast("double"))), "clip", "label_idx", "p", 3)
 
 

@@ -213,6 +213,14 @@ def test_selection_marks_every_row_once(spark):
     assert got == {"gates": 2, "source_cap": 8, "budget": 4, "selected": 6}
 
 
+def test_top_labels_rank_every_label(spark, tmp_path):
+    low = [float(i) / 100 - 3 for i in range(64)]
+    rows = [(1, "a", [*low[:8], *low[8:60], 2.0, 0.5, 1.0, 0.0]), (2, "b", [3.0, *low[1:]]), (3, "b", [1.0, *low[1:]])]
+    spark.createDataFrame(rows, "vec_id bigint, label string, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {(r.clip, r.place): r.label_idx for r in registry.music_top_labels(spark, str(tmp_path)).collect()}
+    assert got == {("a", 1): 60, ("a", 2): 62, ("a", 3): 61, ("b", 1): 0, ("b", 2): 63, ("b", 3): 62}
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) & set(registry.oracle_sql())))
 def test_queries_equal_their_sql(spark, name):
     from verify import canonical
