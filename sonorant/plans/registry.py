@@ -100,7 +100,7 @@ def normalized_text_options(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_gate_reasons(spark: SparkSession, d: str) -> DataFrame:
-    rows = spread(table(spark, d, "labeled_manifest")).withColumn("clean", text.normalize_text(F.col("text"), PLAIN))
+    rows = spread(table(spark, d, "labeled_manifest")).withColumn("clean", text.normalize_text(F.col("text")))
     reasons = gates.all_reasons(gates.text_reasons(F.col("text"), F.col("clean"), F.col("duration")))
     return rows.select("line_number", F.array_join(reasons, ",").alias("reasons"))
 
@@ -116,7 +116,7 @@ def labeled_split_assignment(spark: SparkSession, d: str) -> DataFrame:
 
 def labeled_split_counts(spark: SparkSession, d: str) -> DataFrame:
     """Gates, normalised text gates, split and counts: the labeled branch end to end."""
-    assigned, _ = pipelines.run_labeled_split(spread(table(spark, d, "labeled_manifest")), None, None, quality_gates=OPEN_LABELED, salt="s1", normalization=PLAIN)
+    assigned, _ = pipelines.run_labeled_split(spread(table(spark, d, "labeled_manifest")), None, None, quality_gates=OPEN_LABELED, salt="s1")
     return split.split_counts(assigned, ["language"])
 
 

@@ -221,6 +221,24 @@ def test_top_labels_rank_every_label(spark, tmp_path):
     assert got == {("a", 1): 60, ("a", 2): 62, ("a", 3): 61, ("b", 1): 0, ("b", 2): 63, ("b", 3): 62}
 
 
+LINES = "line_number bigint, audio_id string, text string, duration double, sample_rate int, language string, dataset string, split string, speaker_id string"
+
+
+def write_labeled(spark, path, texts):
+    rows = [(n, f"c{n}", t, 5.0, 16000, "uz", "d", None, "s") for n, t in enumerate(texts, 1)]
+    spark.createDataFrame(rows, LINES).write.parquet(str(path / "labeled_manifest.parquet"))
+    spark.createDataFrame([], "audio_id string, computed_at timestamp, " + Q[7:-1].replace(":", " ")).write.parquet(str(path / "quality_features.parquet"))
+    spark.createDataFrame([], "audio_id string, computed_at timestamp, " + O[7:-1].replace(":", " ")).write.parquet(str(path / "overlap_features.parquet"))
+
+
+def test_gates_see_texts_under_nfkc(spark, tmp_path):
+    """Lengths change both ways: one letter becomes many, a letter and its mark become one."""
+    write_labeled(spark, tmp_path, ["\ufdfa\ufdfa", "e\u0301" * 100, "\u33c2" * 70, "salom dunyo va hamma"])
+    got = {r.line_number: r.reasons for r in registry.text_gate_reasons(spark, str(tmp_path)).collect()}
+    assert got == {1: "", 2: "", 3: "text_too_dense", 4: ""}
+    assert sum(r.n for r in registry.labeled_split_counts(spark, str(tmp_path)).collect()) == 3
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) & set(registry.oracle_sql())))
 def test_queries_equal_their_sql(spark, name):
     from verify import canonical
