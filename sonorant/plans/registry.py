@@ -115,8 +115,9 @@ def labeled_split_assignment(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labeled_split_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Gates, normalised text gates, split and counts: the labeled branch end to end."""
-    assigned, _ = pipelines.run_labeled_split(spread(table(spark, d, "labeled_manifest")), None, None, quality_gates=OPEN_LABELED, salt="s1")
+    """Last features, joins, gates, normalised text gates, split and counts: the labeled branch end to end."""
+    rows = spread(table(spark, d, "labeled_manifest"))
+    assigned, _ = pipelines.run_labeled_split(rows, quality(spark, d), overlap(spark, d), quality_gates=OPEN_LABELED, salt="s1")
     return split.split_counts(assigned, ["language"])
 
 

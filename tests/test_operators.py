@@ -2,6 +2,7 @@
 
 import json
 import random
+from datetime import datetime
 
 import duckdb
 import numpy as np
@@ -224,11 +225,11 @@ def test_top_labels_rank_every_label(spark, tmp_path):
 LINES = "line_number bigint, audio_id string, text string, duration double, sample_rate int, language string, dataset string, split string, speaker_id string"
 
 
-def write_labeled(spark, path, texts):
+def write_labeled(spark, path, texts, quality=(), overlap=()):
     rows = [(n, f"c{n}", t, 5.0, 16000, "uz", "d", None, "s") for n, t in enumerate(texts, 1)]
     spark.createDataFrame(rows, LINES).write.parquet(str(path / "labeled_manifest.parquet"))
-    spark.createDataFrame([], "audio_id string, computed_at timestamp, " + Q[7:-1].replace(":", " ")).write.parquet(str(path / "quality_features.parquet"))
-    spark.createDataFrame([], "audio_id string, computed_at timestamp, " + O[7:-1].replace(":", " ")).write.parquet(str(path / "overlap_features.parquet"))
+    spark.createDataFrame(list(quality), "audio_id string, computed_at timestamp, " + Q[7:-1].replace(":", " ")).write.parquet(str(path / "quality_features.parquet"))
+    spark.createDataFrame(list(overlap), "audio_id string, computed_at timestamp, " + O[7:-1].replace(":", " ")).write.parquet(str(path / "overlap_features.parquet"))
 
 
 def test_gates_see_texts_under_nfkc(spark, tmp_path):
@@ -239,6 +240,15 @@ def test_gates_see_texts_under_nfkc(spark, tmp_path):
     assert sum(r.n for r in registry.labeled_split_counts(spark, str(tmp_path)).collect()) == 3
 
 
+def test_labeled_split_counts_see_the_last_features(spark, tmp_path):
+    """Clip 1 clips in its last row, clip 2 only in an earlier one, 3 overlaps; 4 has failed features and 5 none."""
+    old, new = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    bad = ("ok", 0.5, *GOOD[2:])
+    quality = [("c1", old, *GOOD), ("c1", new, *bad), ("c2", old, *bad), ("c2", new, *GOOD), ("c3", new, *GOOD), ("c4", new, "error", *[None] * 6)]
+    write_labeled(spark, tmp_path, ["salom dunyo va hamma"] * 5, quality, [("c3", new, "ok", 0.9), ("c2", new, "ok", 0.0)])
+    assert sum(r.n for r in registry.labeled_split_counts(spark, str(tmp_path)).collect()) == 3
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) & set(registry.oracle_sql())))
 def test_queries_equal_their_sql(spark, name):
     from verify import canonical
