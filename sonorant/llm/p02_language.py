@@ -20,10 +20,12 @@ BITS = 16
 RIDGE = 0.05
 #: Softmax temperature of the confidence.
 TEMPERATURE = 0.2
-#: Words of a text that counts, of a whole sentence, and of a piece of a text without sentence ends.
-MIN_WORDS, SENTENCE_WORDS, PIECE_WORDS = 6, 8, 12
-#: Whole sentences that make a language one of a mixed document, and the confidence they need.
-SENTENCES, SURE = 2, 0.8
+#: Words of a text that counts, of a whole sentence, of a part of one that counts as a sentence, and of a piece of a text without sentence ends.
+MIN_WORDS, WHOLE_WORDS, SENTENCE_WORDS, PIECE_WORDS = 6, 4, 8, 12
+#: A sentence up to its mark is one, but each so many words of it count as one.
+LONG_WORDS = 24
+#: Whole sentences that make a language one of a mixed document, and the confidence they need, those under SENTENCE_WORDS more.
+SENTENCES, SURE, SHORT_SURE = 2, 0.8, 0.9
 BLOCK = 400_000
 
 def _char_classes() -> np.ndarray:
@@ -51,7 +53,8 @@ def _char_classes() -> np.ndarray:
 _CLASSES: np.ndarray | None = None
 #: Characters without ink, which do not end a word.
 _SKIP = np.array([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF], np.int32)
-_ENDS = np.array([ord(c) for c in ".!?…\n\r。！？"], np.int32)
+_MARKS = np.array([ord(c) for c in ".!?…。！？"], np.int32)
+_ENDS = np.append(_MARKS, np.array([10, 13], np.int32))
 
 
 def classes_of(points: np.ndarray) -> np.ndarray:
@@ -106,14 +109,14 @@ class LanguageModel:
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Classes of all characters, their text, whether a sentence ends there, and their place in the text."""
+    """Classes of all characters, their text, whether a sentence ends there (2 with a mark, 1 with a line), and their place in the text."""
     lengths = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     seen = ~np.isin(points, _SKIP)
     points, owner, place = points[seen], owner[seen], place[seen]
-    return classes_of(points), owner, np.isin(points, _ENDS), place
+    return classes_of(points), owner, np.isin(points, _ENDS).astype(np.int8) + np.isin(points, _MARKS), place
 
 
 def _squeeze(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +163,7 @@ def seed_rows(seeds: DataFrame) -> list[tuple[str, str]]:
 
 
 def pieces(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
-    """Pieces of all texts in order: (text, language index, confidence, words, sentence, start).
+    """Pieces of all texts in order: (text, language index, confidence, words, sentence, start, whether its sentence ends with a mark).
 
     A piece is a sentence, or PIECE_WORDS words of one without an end. Pieces of
     fewer than four words say little: they take the language of the last longer
@@ -169,11 +172,12 @@ def pieces(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
     codes, owner, ends, place = _codes([" " + t for t in texts])
     if not len(codes):
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.float32), none, none, none
+        return none, none, none.astype(np.float32), none, none, none, none.astype(bool)
     word_start = (codes > 0) & np.concatenate(([True], (codes[:-1] == 0) | (owner[1:] != owner[:-1])))
     # A sentence begins after an end, or with a text.
-    cut = np.concatenate(([True], (ends[:-1]) | (owner[1:] != owner[:-1])))
+    cut = np.concatenate(([True], (ends[:-1] > 0) | (owner[1:] != owner[:-1])))
     sentence = np.cumsum(cut) - 1
+    marked = ends[np.append(np.flatnonzero(cut)[1:], len(codes)) - 1] == 2
     words = np.cumsum(word_start)
     first = words[np.flatnonzero(cut)] - word_start[np.flatnonzero(cut)]
     nth = words - first[sentence]  # words of the sentence so far
@@ -194,31 +198,40 @@ def pieces(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
     follow[follow] = of[last[follow]] == of[follow]
     best[follow] = best[last[follow]]
     # The space put in front of each text is no part of it.
-    return of, best, confidence, count, sentence[starts][keep], np.maximum(place[starts][keep] - 1, 0)
+    return of, best, confidence, count, sentence[starts][keep], np.maximum(place[starts][keep] - 1, 0), marked[sentence[starts][keep]]
+
+
+def _runs(best: np.ndarray, confidence: np.ndarray, count: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Neighbouring pieces of one sentence in one language: (first piece, words, confidence)."""
+    starts = np.flatnonzero(np.concatenate(([True], (best[1:] != best[:-1]) | (sentence[1:] != sentence[:-1]))))
+    total = np.add.reduceat(count, starts)
+    return starts, total, np.add.reduceat(confidence * count, starts) / total
 
 
 def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tuple[str, float, int, int]]]:
     """For each text its languages as (language, confidence, words, whole sentences), most words first.
 
     Neighbouring pieces of one sentence in one language are joined. A joined
-    piece of a sentence with an end counts as one whole sentence if it is the
-    whole sentence, or long enough to be one.
+    piece counts as one whole sentence if it is the whole sentence and has
+    WHOLE_WORDS, or is long enough to be one; without a mark at its end each
+    PIECE_WORDS of it count as one.
     """
-    of, best, confidence, count, sentence, _ = pieces(texts, model)
+    of, best, confidence, count, sentence, _, marked = pieces(texts, model)
     out: list[list[tuple[str, float, int, int]]] = [[] for _ in texts]
     if not len(of):
         return out
-    new = np.concatenate(([True], (of[1:] != of[:-1]) | (best[1:] != best[:-1]) | (sentence[1:] != sentence[:-1])))
-    starts = np.flatnonzero(new)
-    total = np.add.reduceat(count, starts)
-    sure = np.add.reduceat(confidence * count, starts) / total
-    whole = np.where(total < SENTENCE_WORDS, 0, np.maximum(1, total // 24))
+    starts, total, sure = _runs(best, confidence, count, sentence)
+    within = sentence[starts]
+    apart = np.concatenate(([True], within[1:] != within[:-1], [True]))
+    alone = apart[:-1] & apart[1:]
+    estimated = total // np.where(alone & marked[starts], LONG_WORDS, PIECE_WORDS)
+    whole = np.where(total < np.where(alone, WHOLE_WORDS, SENTENCE_WORDS), 0, np.maximum(1, estimated))
     k = len(model.languages)
     cell = of[starts].astype(np.int64) * k + best[starts]
     size = len(texts) * k
     n_words = np.bincount(cell, total, size).reshape(-1, k)
     n_sure = np.bincount(cell, sure * total, size).reshape(-1, k)
-    n_whole = np.bincount(cell, whole * (sure >= SURE), size).reshape(-1, k)
+    n_whole = np.bincount(cell, whole * (sure >= np.where(total < SENTENCE_WORDS, SHORT_SURE, SURE)), size).reshape(-1, k)
     for i in np.flatnonzero(n_words.sum(1) > 0).tolist():
         found = [
             (model.languages[c], float(n_sure[i, c] / n_words[i, c]), int(n_words[i, c]), int(n_whole[i, c]))
@@ -232,16 +245,23 @@ def segments_of_texts(texts: list[str], model: LanguageModel) -> list[list[tuple
     """For each text its stretches of one language: (start, end, language, confidence), whole sentences, end to end.
 
     Within a sentence the language of most of its words counts, so that a quoted
-    phrase opens no stretch of its own.
+    phrase opens no stretch of its own; but PIECE_WORDS sure words of a sentence
+    without a mark (LONG_WORDS of one with it) are a stretch, and what follows
+    them is theirs up to the next.
     """
-    of, best, confidence, count, sentence, start = pieces(texts, model)
+    of, best, confidence, count, sentence, start, marked = pieces(texts, model)
     out: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
     if not len(of):
         return out
     k = len(model.languages)
     order = np.unique(sentence, return_inverse=True)[1]
     votes = np.bincount(order * k + best, count, (order.max() + 1) * k).reshape(-1, k)
-    best = np.where(count > 0, votes.argmax(1)[order], best)
+    runs, total, certain = _runs(best, confidence, count, sentence)
+    firm = (total >= np.where(marked[runs], LONG_WORDS, PIECE_WORDS)) & (certain >= SURE)
+    held = np.repeat(firm, np.diff(np.append(runs, len(best))))
+    last = np.maximum.accumulate(np.where(held, np.arange(len(best)), -1))
+    theirs = (last >= 0) & (sentence[last] == sentence)
+    best = np.where(theirs, best[last], votes.argmax(1)[order])
     new = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (best[1:] != best[:-1]))))
     sure = np.add.reduceat(confidence * count, new) / np.add.reduceat(count, new)
     for at, i in enumerate(new.tolist()):

@@ -249,6 +249,19 @@ def test_segments_of_mixed_documents(spark, seeds):
     assert p02_language.mixed_segments(df.limit(0), seeds).count() == 0
 
 
+def test_mixed_documents_of_short_or_unmarked_sentences(spark, seeds):
+    rows = p02_language.seed_rows(seeds)
+    short = [" ".join(t.split()[:6]).rstrip(".,") + "." for language in ("ru", "en") for t in [t for other, t in rows if other == language][:2]]
+    ru = "вчера мы всей семьёй ходили в новый театр а потом долго гуляли по городу и говорили о том что скоро наступит лето"
+    en = "yesterday the whole family went to the new theatre and then we walked through the town and talked about the summer that is coming"
+    df = spark.createDataFrame([(1, " ".join(short), "x"), (2, f"{ru} {ru} {en} {en}", "x"), (3, " ".join(short[:3]), "x"), (4, f"{ru}. {ru}. {short[2]}", "x")], "doc_id bigint, text string, segment string")
+    lines = spark.createDataFrame([], "line_number bigint, text string, language string")
+    labels = p02_language.all_labels(df.withColumn("lang", F.lit("ru")), lines, seeds).where("mixed").collect()
+    assert sorted((r.record_id, r.language) for r in labels) == [(1, "en"), (1, "ru"), (2, "en"), (2, "ru")]
+    got = sorted((r.doc_id, r.segment, r.language) for r in p02_language.mixed_segments(df, seeds).collect())
+    assert got == [(1, 0, "ru"), (1, 1, "en"), (2, 0, "ru"), (2, 1, "en")]
+
+
 def test_spam(spark, seeds):
     sentences = [r.text.rstrip(".") + "." for r in seeds.where("language = 'uz'").orderBy("seed_id").limit(12).collect()]
     prose = "\n".join(sentences)
