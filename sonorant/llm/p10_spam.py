@@ -21,11 +21,15 @@ SPAM_SHARE = 0.5
 RUN_WORDS, WINDOW = 8, 16
 #: Words of a run that is keywords for want of function words alone.
 LONG_RUN = 24
+#: Labels of one page that may be speakers', and words each says on average where there are more than two.
+SPEAKERS, SPOKEN_WORDS = 8, 3
 
 _URL = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]]+")
 _TAG_CODE = re.compile(r"(?<=\w)-[a-z]?\d+\b")
 _MARKUP = re.compile(r"</?[a-z][^<>]*>|[\[\]()]")
 _LEAD = re.compile(r"^\s*(?:\[[\d:. ]+\]\s*)?(?:[^\W\d_]{2,20}:\s)?")
+_LABEL = re.compile(r"[^\W\d_]{2,20}:\s")
+_TOKEN = re.compile(r"[^\s,|/;•*»>·+]+")
 _UNITS = re.compile(r"[^.!?…|;•\n]+[.!?…|;•]*")
 _WORD = re.compile(r"[^\W\d_]+(?:['-][^\W\d_]+)*")
 _SEPARATORS = re.compile(r"[,|/;•*»>#·+]")
@@ -81,12 +85,16 @@ def features(text: str | None, model: ProseModel) -> dict:
     its most repeated words make up most of it, if it lacks function words, or
     if words repeat along with word pairs or whole units or among dense
     separators, codes and numbers. Repeated sentences are prose however often
-    they come, and replies under speakers' labels are speech.
+    they come, and replies under speakers' labels are speech; labels of
+    attributes are words as any others. A run of few words counts if it is the
+    page and made of hash tags or codes.
     """
     out = {"total": 0, "links": 0, "keywords": 0, "prose": 0}
     if not text:
         return out
-    runs: list[list] = []  # [characters, words, separators, digits, units, units with a speaker's label]
+    runs: list[list] = []  # [characters, words, separators, digits, units, labels with their words]
+    said: Counter = Counter()  # units and words under each label that may be a speaker's
+    turns: Counter = Counter()
     open_run: list | None = None
     shown = plain(text)
     has_links = "http" in shown or "www." in shown
@@ -105,11 +113,13 @@ def features(text: str | None, model: ProseModel) -> dict:
             elif len(words) > 12 * len(links):
                 # Many words beside few links are judged as a run of words.
                 out["links"] += linked
-                runs.append([size - linked, words, len(_SEPARATORS.findall(rest)), 0, [rest], 0])
+                runs.append([size - linked, words, len(_SEPARATORS.findall(rest)), 0, [rest], []])
             else:
                 out["links"] += size
             continue
+        listed = False  # whether a separator other than a sentence's end came before
         for unit in _windows(_UNITS.findall(line)):
+            before, listed = listed, unit.rstrip()[-1:] in ("|", ";", "•")
             chars = len(unit) - unit.count(" ")
             if _prose(unit.split(), model):
                 out["prose"] += chars
@@ -117,25 +127,42 @@ def features(text: str | None, model: ProseModel) -> dict:
                 continue
             lead = _LEAD.match(unit)
             words = _WORD.findall(_TAG_CODE.sub("", unit[lead.end() :]))
+            label = lead[0].rstrip().rpartition("]")[2].strip()
+            label = label[:-1] if label.endswith(":") else ""
+            attribute = bool(label) and (before or listed or len(_LABEL.findall(unit)) > 1)
+            if label and not attribute:
+                turns[label] += 1
+                said[label] += len(words)
             if _prose(words, model):
                 out["prose"] += chars
                 open_run = None
                 continue
             if open_run is None:
-                open_run = [0, [], 0, 0, [], 0]
+                open_run = [0, [], 0, 0, [], []]
                 runs.append(open_run)
             open_run[0] += chars
             open_run[1] += words
             open_run[2] += len(_SEPARATORS.findall(unit))
             open_run[3] += sum(map(str.isdigit, unit))
             open_run[4].append(unit.strip())
-            open_run[5] += lead[0].rstrip().endswith(":")
+            if label:
+                open_run[5].append((label, attribute))
     if not runs:
         return out
+    dialogue = len(turns) <= 2 or len(turns) <= SPEAKERS and sum(said.values()) >= SPOKEN_WORDS * sum(turns.values())
+    for r in runs:
+        spoken = sum(dialogue and not attribute for _, attribute in r[5])
+        if 2 * spoken <= len(r[4]):
+            r[1] += [label for label, attribute in r[5] if attribute or not dialogue]
+        r[5] = spoken
     counts = Counter(w for r in runs for w in r[1])
     for chars, words, separators, digits, units, spoken in runs:
         n = len(words)
-        if n < RUN_WORDS or 2 * spoken > len(units):
+        if 2 * spoken > len(units):
+            continue
+        if n < RUN_WORDS:
+            if 10 * chars >= 9 * out["total"] and _tags(units):
+                out["keywords"] += chars
             continue
         own = Counter(words)
         repeated = sum(k for w, k in own.items() if counts[w] >= 3) / n
@@ -149,6 +176,14 @@ def features(text: str | None, model: ProseModel) -> dict:
     return out
 
 
+def _tags(units: list[str]) -> bool:
+    """Whether nearly all of a short page are hash tags (three at least) or codes with digits (as many as a run's words)."""
+    tokens = [t for u in units for t in _TOKEN.findall(u)]
+    hashes = sum(t.startswith("#") for t in tokens)
+    codes = sum(not t.startswith("#") and any(map(str.isdigit, t)) for t in tokens)
+    return 4 * (hashes + codes) >= 3 * len(tokens) and (hashes >= 3 or hashes + codes >= RUN_WORDS)
+
+
 def _windows(units: list[str]) -> list[str]:
     """Units as they are, very long ones (text without sentence ends) in windows."""
     out = []

@@ -277,3 +277,13 @@ def test_spam(spark, seeds):
     assert sorted(r.doc_id for r in p10_spam.spam(df, seeds).collect()) == [8, 8, 9, 10, 11, 15]
     assert p10_spam.spam_shares(df, seeds).count() == len(data)
     assert p10_spam.spam(df.limit(0), seeds).count() == 0
+
+
+def test_spam_of_attributes_and_short_tags(spark, seeds):
+    data = [
+        (1, "\n".join(["brand: nike | color: red | price: low"] * 20)), (2, "\n".join(["brand: nike", "color: red", "price: low"] * 20)),
+        (3, "#arzon #kitob #narx"), (4, "\n".join(f"A-{i}" for i in range(1000, 1060))), (5, "salom dunyo"), (6, "2024 yil 5 may"),
+        (7, "\n".join(["Mijoz: ha, ha.", "Operator: xo'p."] * 40)), (8, "\n".join(["Ali: ha ha ha ha.", "Vali: yo'q yo'q yo'q.", "Olim: mayli mayli mayli."] * 20)), (9, "+998 90 123 45 67"),
+    ]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in p10_spam.spam(df, seeds).collect()) == [1, 2, 3, 4]
