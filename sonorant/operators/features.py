@@ -46,12 +46,28 @@ def join_features(manifest: DataFrame, quality: DataFrame | None, overlap: DataF
     return out.drop("__id")
 
 
+def no_nan(value: Column) -> Column:
+    """The number, null where it is none (NaN)."""
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+
+def without_nan(rows: DataFrame) -> DataFrame:
+    """The rows with null for every NaN."""
+    return rows.select(*[
+        no_nan(F.col(f.name)).alias(f.name) if f.dataType.simpleString() in ("float", "double") else F.col(f.name) for f in rows.schema])
+
+
 def selection_score(q: Column, o: Column) -> Column:
-    """Quality less a fifth of the overlap ratio plus up to 0.1 for SNR, 6 decimals; what is not ok adds nothing."""
+    """Quality less a fifth of the overlap ratio plus up to 0.1 for SNR, 6 decimals; what is not ok, null or NaN adds nothing.
+
+    The score is always a number: NaN sorts above all numbers, so one such clip
+    would take the first place of its source and of the budget.
+    """
     q_ok = F.coalesce(q["status"] == "ok", F.lit(False))
     o_ok = F.coalesce(o["status"] == "ok", F.lit(False))
-    quality = F.when(q_ok, F.coalesce(q["quality_score"], F.lit(0.0))).otherwise(0.0)
-    overlap = F.when(o_ok, F.coalesce(o["overlap_ratio"], F.lit(0.0))).otherwise(0.0)
-    snr = F.when(q_ok, F.coalesce(q["snr_estimate_db"], F.lit(0.0))).otherwise(0.0)
+    part = lambda ok, value: F.when(ok, F.coalesce(no_nan(value), F.lit(0.0))).otherwise(0.0)
+    quality = part(q_ok, q["quality_score"])
+    overlap = part(o_ok, o["overlap_ratio"])
+    snr = part(q_ok, q["snr_estimate_db"])
     bonus = F.least(F.greatest(snr / 30.0, F.lit(0.0)), F.lit(1.0)) * 0.1
     return F.round(quality - overlap * 0.2 + bonus, 6)

@@ -6,23 +6,30 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import none_string
 from ..runtime import cut, global_row_numbers
+from .features import no_nan
 
 #: Rows whose durations are summed together when the budget's end is sought.
 CHUNK = 100_000
 SALTS = 32
 
 
-def mark_source_cap(scored: DataFrame, cap: int, source: str = "source_audio_id", score: str = "selection_score") -> DataFrame:
-    """Clips with `place` within their source by (score desc, audio_id), null where it exceeds the cap.
+def _best_first(score: str, ties: tuple[str, ...]) -> list:
+    """Higher scores first, null and NaN after all numbers; equal ones by audio_id and then `ties`."""
+    return [no_nan(F.col(score)).desc_nulls_last(), F.col("audio_id").asc(), *[F.col(t).asc() for t in ties]]
 
-    All clips without a source are one group. Places within salted parts of a
+
+def mark_source_cap(scored: DataFrame, cap: int, source: str = "source_audio_id", score: str = "selection_score", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Clips with `place` within their source by (score desc, audio_id, ties), null where it exceeds the cap.
+
+    All clips without a source are one group; null and NaN scores come last.
+    Repeated rows of a clip count each: give `ties` where they differ. Places within salted parts of a
     source come first; only those within the cap there are ranked together.
     """
     if cap < 0:
         raise ValueError("cap must not be negative")
-    order = [F.col(score).desc(), F.col("audio_id").asc()]
+    order = _best_first(score, ties)
     keyed = scored.withColumn("__s", none_string(F.col(source)))
-    keyed = keyed.withColumn("__part", F.pmod(F.xxhash64("audio_id"), F.lit(SALTS)))
+    keyed = keyed.withColumn("__part", F.pmod(F.xxhash64("audio_id", *ties), F.lit(SALTS)))
     keyed = keyed.withColumn("__pre", F.row_number().over(Window.partitionBy("__s", "__part").orderBy(*order)))
     near = F.col("__pre") <= cap
     final = keyed.where(near).withColumn("place", F.row_number().over(Window.partitionBy("__s").orderBy(*order)))
@@ -31,8 +38,8 @@ def mark_source_cap(scored: DataFrame, cap: int, source: str = "source_audio_id"
     return final.unionByName(rest).drop("__s", "__part", "__pre")
 
 
-def mark_budget(scored: DataFrame, hours: float, score: str = "selection_score") -> DataFrame:
-    """Clips with `in_budget`: greedy by (score desc, audio_id), skipping a clip that does not fit and going on.
+def mark_budget(scored: DataFrame, hours: float, score: str = "selection_score", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Clips with `in_budget`: greedy by (score desc, audio_id, ties), null and NaN scores last, skipping a clip that does not fit and going on.
 
     The first clip is always kept. Durations count in whole milliseconds, null
     and NaN as 0. Rows are numbered in a distributed order; then, in rounds, the
@@ -42,7 +49,7 @@ def mark_budget(scored: DataFrame, hours: float, score: str = "selection_score")
     duration. Clips of 3 to 30 seconds need a few rounds.
     """
     ms = F.round(F.coalesce(F.nanvl("duration", F.lit(0.0)), F.lit(0.0)) * 1000).cast("bigint")
-    order = [F.col(score).desc(), F.col("audio_id").asc()]
+    order = _best_first(score, ties)
     rows = cut(global_row_numbers(scored.withColumn("__ms", ms), order, "__row"))
     left = round(hours * 3_600_000)
     start, taken = -1, []

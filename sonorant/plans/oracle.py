@@ -59,6 +59,11 @@ r AS (
   FROM j)
 """
 
+def _number(column: str) -> str:
+    """NaN as null."""
+    return f"CASE WHEN isnan({column}) THEN NULL ELSE {column} END"
+
+
 _CLEAN = _normalized("text")
 _SECONDS = "coalesce(CASE WHEN isnan(duration) THEN 0 ELSE duration END, 0)"
 
@@ -102,19 +107,21 @@ SELECT audio_id, computed_at, round(greatest(least(1.0::DOUBLE
 FROM (SELECT *, CASE WHEN isnan(snr_estimate_db) THEN NULL ELSE snr_estimate_db END AS snr FROM quality_features WHERE status = 'ok')
 """
 
+_RANK = f"""round(CASE WHEN qk THEN coalesce({_number('score')}, 0) ELSE 0 END
+      - CASE WHEN ok THEN coalesce({_number('overlap_ratio')}, 0) ELSE 0 END * 0.2::DOUBLE
+      + least(greatest(CASE WHEN qk THEN coalesce({_number('snr')}, 0) ELSE 0 END / 30.0::DOUBLE, 0), 1) * 0.1::DOUBLE, 6)"""
+
 SQL = {
     "gate_reasons": f"WITH {_SSL} SELECT audio_id, delivered_at, array_to_string(reasons, ',') AS reasons FROM r",
     "reject_histogram": f"WITH {_SSL} SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM r) GROUP BY 1",
-    "selection_score": f"""WITH {_SSL} SELECT audio_id, delivered_at, round(CASE WHEN qk THEN coalesce(score, 0) ELSE 0 END
-      - CASE WHEN ok THEN coalesce(overlap_ratio, 0) ELSE 0 END * 0.2::DOUBLE
-      + least(greatest(CASE WHEN qk THEN coalesce(snr, 0) ELSE 0 END / 30.0::DOUBLE, 0), 1) * 0.1::DOUBLE, 6) AS score FROM r""",
+    "selection_score": f"""WITH {_SSL} SELECT audio_id, delivered_at, {_RANK} AS score FROM r""",
     "selected_by_language_dataset": f"""WITH {_SSL}, x AS (SELECT * FROM r WHERE len(reasons) = 0)
       SELECT 'language' AS key, coalesce(language, 'None') AS value, count(*) AS n FROM x GROUP BY 2
       UNION ALL SELECT 'dataset', coalesce(dataset, 'None'), count(*) FROM x GROUP BY 2""",
     "selected_hours": f"WITH {_SSL} SELECT count(*) AS n, round(coalesce(sum({_SECONDS}), 0) / 3600, 4) AS hours FROM r WHERE len(reasons) = 0",
     "ssl_selection": f"""WITH RECURSIVE {_SSL.replace('FROM ssl_candidates)', 'FROM ssl_candidates WHERE audio_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY audio_id ORDER BY delivered_at DESC) = 1)')},
       c AS MATERIALIZED (SELECT audio_id, coalesce(source_audio_id, 'None') AS source, round({_SECONDS} * 1000)::BIGINT AS ms,
-        round(coalesce(score, 0) - coalesce(overlap_ratio, 0) * 0.2::DOUBLE + least(greatest(coalesce(snr, 0) / 30.0::DOUBLE, 0), 1) * 0.1::DOUBLE, 6) AS score
+        {_RANK} AS score
         FROM r WHERE len(reasons) = 0),
       k AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, audio_id) AS place FROM c),
       ranked AS MATERIALIZED (SELECT audio_id, ms, row_number() OVER (ORDER BY score DESC, audio_id) AS rn FROM k WHERE place <= 3),
@@ -134,7 +141,7 @@ SQL = {
       CASE WHEN starts_with(audio_path, '/') THEN audio_path ELSE '/data/manifests/' || audio_path END AS source_audio_path,
       (0.5 + 5 * p)::DOUBLE AS source_start, least(5.5 + 5 * p, 12.75)::DOUBLE AS source_end, (least(5.5 + 5 * p, 12.75) - 0.5 - 5 * p)::DOUBLE AS duration, dataset
       FROM (SELECT DISTINCT * FROM raw_unlabeled), (VALUES (0), (1), (2)) x(p)""",
-    "feature_last_wins": """SELECT audio_id, status, clipping_ratio, silence_ratio, rms_dbfs, snr_estimate_db, dc_offset_mean_abs, quality_score, computed_at
+    "feature_last_wins": f"""SELECT audio_id, status, {", ".join(f"{_number(c)} AS {c}" for c in ("clipping_ratio", "silence_ratio", "rms_dbfs", "snr_estimate_db", "dc_offset_mean_abs", "quality_score"))}, computed_at
       FROM quality_features WHERE audio_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY audio_id ORDER BY computed_at DESC) = 1""",
     "shard_union": """SELECT audio_id, (CASE WHEN day(computed_at) % 2 = 0 THEN 0 ELSE 1 END)::INT AS file_ord, status, overlap_ratio FROM overlap_features
       WHERE audio_id IS NOT NULL AND computed_at IS NOT NULL

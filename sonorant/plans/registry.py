@@ -70,7 +70,8 @@ def selection_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    return quality(spark, d)
+    """Every clip's last row; what is no number (NaN) comes out null, as from any gate or score that reads it."""
+    return features.without_nan(quality(spark, d))
 
 
 def shard_union(spark: SparkSession, d: str) -> DataFrame:

@@ -79,6 +79,26 @@ def test_source_cap(spark):
         assert got == want
 
 
+def test_scores_that_are_no_numbers_come_last(spark):
+    """NaN and null lose the cap and the budget to any number, and a NaN feature adds nothing to a score."""
+    clips = [("a", "s", NAN, 10.0), ("b", "s", None, 10.0), ("c", "s", -1.0, 10.0), ("d", "s", 0.5, 10.0)]
+    df = spark.createDataFrame(clips, "audio_id string, source_audio_id string, selection_score double, duration double")
+    assert {r.audio_id: r.place for r in selection.mark_source_cap(df, 2).collect()} == {"a": None, "b": None, "c": 2, "d": 1}
+    assert {r.audio_id for r in selection.mark_budget(df, 20 / 3600).where("in_budget").collect()} == {"c", "d"}
+    q = [("ok", 0.0, 0.1, -20.0, snr, 0.0, score) for snr, score in ((20.0, NAN), (NAN, 0.9), (30.0, 0.9), (None, None))]
+    rows = spark.createDataFrame([(i, x, ("ok", NAN)) for i, x in enumerate(q)], f"i int, q {Q}, o {O}")
+    got = [r.s for r in rows.select("i", features.selection_score(F.col("q"), F.col("o")).alias("s")).orderBy("i").collect()]
+    assert got == [0.066667, 0.9, 1.0, 0.0]
+
+
+def test_repeated_rows_of_a_clip_count_each(spark):
+    rows = [("a", "s", 0.5, 10.0, t) for t in (3, 1, 2)] + [("b", "s", 0.4, 10.0, 1)]
+    df = spark.createDataFrame(rows, "audio_id string, source_audio_id string, selection_score double, duration double, t int")
+    got = {(r.audio_id, r.t): r.place for r in selection.mark_source_cap(df, 2, ties=("t",)).collect()}
+    assert got == {("a", 1): 1, ("a", 2): 2, ("a", 3): None, ("b", 1): None}
+    assert {(r.audio_id, r.t) for r in selection.mark_budget(df, 20 / 3600, ties=("t",)).where("in_budget").collect()} == {("a", 1), ("a", 2)}
+
+
 def test_last_wins_and_shards(spark):
     a = spark.createDataFrame([(1, "x", "ok"), (2, "x", "ok"), (3, None, "ok")], "line_number int, audio_id string, status string")
     b = spark.createDataFrame([(1, "x", "error"), (2, "y", "ok")], "line_number int, audio_id string, status string")
@@ -260,4 +280,4 @@ def test_queries_equal_their_sql(spark, name):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
     df = entry.queries()[name](spark, d)
     relation = db.sql(entry.oracle_sql()[name])
-    assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(relation.fetchall(), list(relation.columns))
+    assert canonical([tuple(r) for r in df.collect()], df.columns, "Spark") == canonical(relation.fetchall(), list(relation.columns), "SQL")
