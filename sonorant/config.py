@@ -1,4 +1,8 @@
-"""Settings of the stages, checked when they are made."""
+"""Settings of the stages, checked when they are made.
+
+Fixed values: the fields and their defaults are the interface of the stages, and
+ids of runs are hashes over them.
+"""
 
 from __future__ import annotations
 
@@ -59,13 +63,14 @@ class AudioQuality:
 
 @dataclass(frozen=True)
 class Vad:
+    target_sample_rate: int = 16_000
     threshold: float = 0.5
-    min_speech_ms: int = 250
-    min_silence_ms: int = 1000
+    min_speech_duration_ms: int = 250
+    min_silence_duration_ms: int = 1000
     speech_pad_ms: int = 300
-    max_segment_duration: float = 30.0
     min_segment_duration: float = 1.5
-    target_sample_rate: int = 16_000
+    max_segment_duration: float = 30.0
+    max_threads: int | None = 1
 
     def __post_init__(self):
         if self.max_segment_duration <= 0:
@@ -74,16 +79,32 @@ class Vad:
 
 @dataclass(frozen=True)
 class Overlap:
+    model_name: str = "pyannote/overlapped-speech-detection"
     min_overlap_duration: float = 0.1
+    max_threads: int | None = 1
 
 
 @dataclass(frozen=True)
 class Music:
-    threshold: float = 0.5
-    window_seconds: float = 10.0
+    model_name: str = "MIT/ast-finetuned-audioset-10-10-0.4593"
     target_sample_rate: int = 16_000
-    label: str = "Music"
-    top_k: int = 5
+    window_seconds: float = 10.0
+    music_threshold: float = 0.5
+    music_label: str = "Music"
+    top_k_labels: int = 5
+    batch_size: int = 8
+    max_threads: int | None = 1
+
+
+@dataclass(frozen=True)
+class Materialize:
+    output_format: str = "flac"
+    subtype: str | None = None
+    overwrite: bool = False
+
+    def __post_init__(self):
+        if self.output_format not in ("flac", "wav"):
+            raise ValueError("output_format must be flac or wav")
 
 
 @dataclass(frozen=True)
@@ -99,12 +120,30 @@ class SplitRatios:
 
 @dataclass(frozen=True)
 class Selection:
+    gates: QualityGates = SSL_GATES
+    allowed_languages: tuple[str, ...] | None = None
     max_clips_per_source: int | None = None
     target_hours: float | None = None
-    languages: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.max_clips_per_source is not None and self.max_clips_per_source < 0:
             raise ValueError("max_clips_per_source must not be negative")
         if self.target_hours is not None and self.target_hours < 0:
             raise ValueError("target_hours must not be negative")
+
+
+@dataclass(frozen=True)
+class LabeledSplit:
+    gates: QualityGates = LABELED_GATES
+    ratios: SplitRatios = SplitRatios()
+    group_key: str = "audio_id"
+    stratify_keys: tuple[str, ...] = ("dataset", "language")
+    require_text: bool = True
+    min_chars_per_second: float = 3.0
+    max_chars_per_second: float = 25.0
+    allowed_languages: tuple[str, ...] | None = None
+    salt: str = "labeled_split_v1"
+
+    @property
+    def text_gates(self) -> TextGates:
+        return TextGates(self.require_text, self.min_chars_per_second, self.max_chars_per_second)

@@ -64,7 +64,7 @@ def text_reasons(text: Column, clean: Column, duration: Column, gates: TextGates
     ]
 
 
-def language_reason(language: Column, allowed: tuple[str, ...]) -> list[Column]:
+def language_reason(language: Column, allowed: tuple[str, ...] | None) -> list[Column]:
     """No list means no filter; with one, a missing language is rejected."""
     if not allowed:
         return []

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..config import LABELED_GATES, SSL_GATES, AudioQuality, Music, Overlap, QualityGates, Selection, SplitRatios, TextGates, TextNormalization, Vad
+from ..config import AudioQuality, LabeledSplit, Materialize, Music, Overlap, Selection, TextNormalization, Vad
 from ..functions import signal
 from ..functions.hashing import none_string
 from ..functions.text import normalize_text
@@ -94,9 +94,11 @@ def run_audio_quality(rows: DataFrame, run: Run, config: AudioQuality = AudioQua
     def one(path, r):
         samples, rate = audio.load(path)
         found = signal.metrics(samples, rate, config)
-        return found | {"manifest_duration": _duration(r), "duration_delta": round(found["duration"] - _duration(r), 3)}
+        return found | {"manifest_duration": round(_duration(r), 3), "duration_delta": round(found["duration"] - _duration(r), 3)}
 
-    return _stage(rows, run, "audio_quality", f"manifest_duration double, duration_delta double, {signal.METRICS}", one)
+    out = _stage(rows, run, "audio_quality", f"manifest_duration double, duration_delta double, {signal.MEASURED}", one)
+    score = signal.score_of(F.col("exact"), config).alias("quality_score")
+    return out.select(*[score if c == "exact" else F.col(c) for c in out.columns])
 
 
 def run_overlap(rows: DataFrame, run: Run, detector: OverlapDetector, config: Overlap = Overlap()) -> DataFrame:
@@ -127,13 +129,13 @@ def run_music(rows: DataFrame, run: Run, classifier: WindowClassifier, config: M
     def one(path, r):
         samples = audio.load_mono(path, config.target_sample_rate)
         p = classifier.score(windows_of(samples, round(config.window_seconds * config.target_sample_rate)))
-        at = [x.lower() for x in classifier.labels].index(config.label.lower())
+        at = [x.lower() for x in classifier.labels].index(config.music_label.lower())
         own, mean = p[:, at], p.mean(axis=0)
-        best = np.argsort(mean)[::-1][: max(0, config.top_k)]
-        return {"duration": round(_duration(r), 3), "music_model": classifier.name, "music_label": config.label, "music_threshold": config.threshold,
+        best = np.argsort(mean)[::-1][: max(0, config.top_k_labels)]
+        return {"duration": round(_duration(r), 3), "music_model": classifier.name, "music_label": config.music_label, "music_threshold": config.music_threshold,
                 "music_probability": round(float(own.max()), 6), "music_mean_probability": round(float(own.mean()), 6),
-                "music_ratio": round(float(np.mean(own >= np.asarray(config.threshold, p.dtype))), 6),
-                "is_music": bool(float(own.max()) >= config.threshold), "num_windows": len(p),
+                "music_ratio": round(float(np.mean(own >= np.asarray(config.music_threshold, p.dtype))), 6),
+                "is_music": bool(float(own.max()) >= config.music_threshold), "num_windows": len(p),
                 "top_labels": [{"label": classifier.labels[i], "probability": round(float(mean[i]), 6)} for i in best]}
 
     tail = ("duration double, music_model string, music_label string, music_threshold double, music_probability double, "
@@ -230,32 +232,38 @@ def clip_rows(segments: DataFrame, ending: str = "wav") -> DataFrame:
     )
 
 
-def materialize(segments: DataFrame, folder: str, overwrite: bool = False, fail_fast: bool = False) -> DataFrame:
+#: Seconds of a recording whose clips one task cuts.
+STRETCH = 600.0
+
+
+def materialize(segments: DataFrame, folder: str, config: Materialize = Materialize("wav"), fail_fast: bool = False) -> DataFrame:
     """Clips cut and written; their manifest rows, with `outcome` written, kept or error.
 
-    Segments are brought together by source and sorted, so each file is decoded
-    once for a run of its segments; batches keep memory bounded however many
-    segments a source has.
+    Segments are brought together by stretches of their source, so a recording
+    with very many of them is many tasks, and each decodes only its own part of
+    the file. A source that cannot be opened is tried once a task.
     """
-    out = clip_rows(segments)
+    out = clip_rows(segments, config.output_format)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + ", outcome string"
     names = [*out.columns, "outcome"]
 
     def work(frames):
-        held, samples, rate = None, None, 0
+        broken: tuple[str | None, Exception | None] = (None, None)
         for frame in frames:
             rows = []
             for r in frame.to_dict("records"):
+                source = r["source_audio_path"]
                 try:
-                    if held != r["source_audio_path"]:
-                        samples, rate = audio.load(r["source_audio_path"])
-                        held = r["source_audio_path"]
-                    first = max(round(r["source_start"] * rate), 0)
-                    last = min(round(r["source_end"] * rate), len(samples))
-                    if last <= first:
+                    if broken[0] == source:
+                        raise broken[1]
+                    try:
+                        clip, rate = audio.load(source, r["source_start"], r["source_end"])
+                    except OSError as e:
+                        broken = (source, e)
+                        raise
+                    if not len(clip):
                         raise ValueError("the segment is empty")
-                    clip = samples[first:last]
-                    new = audio.write_wav(f"{folder}/{r['audio_path']}", clip, rate, overwrite)
+                    new = audio.write_audio(f"{folder}/{r['audio_path']}", clip, rate, config.overwrite, config.output_format, config.subtype)
                     rows.append(r | {"duration": round(len(clip) / rate, 3), "sample_rate": rate, "channels": clip.shape[1], "outcome": "written" if new else "kept"})
                 except Exception:  # noqa: BLE001
                     if fail_fast:
@@ -263,34 +271,35 @@ def materialize(segments: DataFrame, folder: str, overwrite: bool = False, fail_
                     rows.append(r | {"outcome": "error"})
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    placed = out.repartition("source_audio_path").sortWithinPartitions("source_audio_path", "source_start")
+    stretch = F.floor(F.coalesce(F.nanvl("source_start", F.lit(0.0)), F.lit(0.0)) / STRETCH)
+    placed = out.repartition("source_audio_path", stretch).sortWithinPartitions("source_audio_path", "source_start")
     return placed.mapInPandas(work, schema)
 
 
 def run_ssl_selection(manifest: DataFrame, quality: DataFrame | None, overlap: DataFrame | None, music: DataFrame | None = None,
-                      quality_gates: QualityGates = SSL_GATES, config: Selection = Selection()) -> DataFrame:
+                      config: Selection = Selection(), ties: tuple[str, ...] = ()) -> DataFrame:
     """Every manifest row with selection_score, reject_reasons (empty: selected) and the stage that rejected it.
 
     The feature tables have one row a clip (features.last_wins). Gates name all
-    failed reasons; only passing clips meet the cap, only capped ones the budget.
+    failed reasons; only passing clips meet the cap, only capped ones the
+    budget. Rows that a manifest repeats are rows each, in the order of `ties`.
     """
     joined = features.join_features(manifest, quality, overlap, music)
     q, o, m = F.col("q"), F.col("o"), F.col("m")
     reasons = gates.all_reasons(
-        gates.quality_reasons(F.col("duration"), F.col("sample_rate"), q, o, m, quality_gates),
-        gates.language_reason(F.col("language"), config.languages))
-    scored = joined.select(*[manifest[c] for c in manifest.columns], features.selection_score(q, o).alias("selection_score"), reasons.alias("reject_reasons")) \
-        if "selection_score" not in manifest.columns else joined.drop("selection_score").withColumn(
-            "selection_score", features.selection_score(q, o)).withColumn("reject_reasons", reasons).drop("q", "o", "m")
+        gates.quality_reasons(F.col("duration"), F.col("sample_rate"), q, o, m, config.gates),
+        gates.language_reason(F.col("language"), config.allowed_languages))
+    scored = joined.drop("selection_score").withColumns(
+        {"selection_score": features.selection_score(q, o), "reject_reasons": reasons}).drop("q", "o", "m")
     scored = cut(scored)
     passing = scored.where(F.size("reject_reasons") == 0)
     out = scored.where(F.size("reject_reasons") > 0).withColumn("stage", F.lit("gates"))
     if config.max_clips_per_source is not None:
-        marked = selection.mark_source_cap(passing, config.max_clips_per_source)
+        marked = selection.mark_source_cap(passing, config.max_clips_per_source, ties=ties)
         out = out.unionByName(_rejected(marked.where(F.col("place").isNull()).drop("place"), "source_cap"))
         passing = marked.where(F.col("place").isNotNull()).drop("place")
     if config.target_hours is not None:
-        marked = selection.mark_budget(passing, config.target_hours)
+        marked = selection.mark_budget(passing, config.target_hours, ties=ties)
         out = out.unionByName(_rejected(marked.where(~F.col("in_budget")).drop("in_budget"), "budget"))
         passing = marked.where("in_budget").drop("in_budget")
     return out.unionByName(passing.withColumn("stage", F.lit("selected")))
@@ -300,18 +309,22 @@ def _rejected(rows: DataFrame, reason: str) -> DataFrame:
     return rows.withColumn("reject_reasons", F.array(F.lit(reason))).withColumn("stage", F.lit(reason))
 
 
-def run_labeled_split(manifest: DataFrame, quality: DataFrame | None, overlap: DataFrame | None, music: DataFrame | None = None,
-                      quality_gates: QualityGates = LABELED_GATES, text_gates: TextGates = TextGates(), ratios: SplitRatios = SplitRatios(),
-                      group: str = "speaker_id", strata: tuple[str, ...] = ("language", "dataset"), salt: str = "",
-                      languages: tuple[str, ...] = (), normalization: TextNormalization = TextNormalization()) -> tuple[DataFrame, DataFrame]:
-    """(assigned, rejected). Reasons: quality gates, then text gates, then language."""
+def labeled_reasons(manifest: DataFrame, quality: DataFrame | None, overlap: DataFrame | None, music: DataFrame | None = None,
+                    config: LabeledSplit = LabeledSplit(), normalization: TextNormalization = TextNormalization()) -> DataFrame:
+    """The manifest with reject_reasons: quality gates, then text gates, then language."""
     joined = features.join_features(manifest.withColumn("__clean", normalize_text(F.col("text"), normalization)), quality, overlap, music)
     reasons = gates.all_reasons(
-        gates.quality_reasons(F.col("duration"), F.col("sample_rate"), F.col("q"), F.col("o"), F.col("m"), quality_gates),
-        gates.text_reasons(F.col("text"), F.col("__clean"), F.col("duration"), text_gates),
-        gates.language_reason(F.col("language"), languages))
-    judged = cut(joined.withColumn("reject_reasons", reasons).drop("q", "o", "m", "__clean"))
+        gates.quality_reasons(F.col("duration"), F.col("sample_rate"), F.col("q"), F.col("o"), F.col("m"), config.gates),
+        gates.text_reasons(F.col("text"), F.col("__clean"), F.col("duration"), config.text_gates),
+        gates.language_reason(F.col("language"), config.allowed_languages))
+    return joined.withColumn("reject_reasons", reasons).drop("q", "o", "m", "__clean")
+
+
+def run_labeled_split(manifest: DataFrame, quality: DataFrame | None, overlap: DataFrame | None, music: DataFrame | None = None,
+                      config: LabeledSplit = LabeledSplit(), normalization: TextNormalization = TextNormalization()) -> tuple[DataFrame, DataFrame]:
+    """(assigned, rejected)."""
+    judged = cut(labeled_reasons(manifest, quality, overlap, music, config, normalization))
     passing = judged.where(F.size("reject_reasons") == 0).drop("reject_reasons")
     rejected = judged.where(F.size("reject_reasons") > 0).select(
         none_string(F.col("audio_id")).alias("audio_id"), "reject_reasons", "duration", "language", "dataset")
-    return split.assign_splits(passing, ratios, group, list(strata), salt), rejected
+    return split.assign_splits(passing, config.ratios, config.group_key, list(config.stratify_keys), config.salt), rejected

@@ -9,16 +9,17 @@ from dataclasses import replace
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..config import LABELED_GATES, SSL_GATES, Selection, SplitRatios, TextNormalization, Vad
+from ..config import LABELED_GATES, LabeledSplit, Selection, SplitRatios, SSL_GATES, TextNormalization, Vad
 from ..functions import hashing, intervals, signal, text
 from ..operators import features, gates, music, report, selection, sharding, split
-from ..runtime import ensure_checkpoint_dir, spread, table
+from ..runtime import cut, ensure_checkpoint_dir, spread, table
+from ..schemas import RAW_UNLABELED
 from ..scorers import EnergySpeech
 from ..sources import manifest as manifests
 from . import pipelines
 from .oracle import SQL
 
-OPEN_SSL = replace(SSL_GATES, require_music=False)
+#: Labeled clips mostly have no features here; those they have are gated.
 OPEN_LABELED = replace(LABELED_GATES, require_quality=False, require_overlap=False, require_music=False)
 LABEL = "nAtIoN_7"
 PLAIN = TextNormalization(normalize_unicode=False)
@@ -46,14 +47,26 @@ def waves(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: (x * loud).cast("float")).alias("samples"))
 
 
+def music_windows(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("clip"), (F.col("l_discount") * 10 + 0.0).alias("p"))
+
+
+def clip_music(spark: SparkSession, d: str) -> DataFrame:
+    """Music features: a clip's windows are the lines of the order with its line number; each 20th run failed, clips without an order have none."""
+    numbered = features.last_wins(table(spark, d, "quality_features"), ["computed_at"], ["source_line_number"])
+    rolled = music.clip_rollup(music_windows(spark, d), "clip", "p", 0.95)
+    status = F.when(F.col("clip") % 20 == 0, "error").otherwise("ok")
+    return numbered.join(rolled, F.col("source_line_number") == F.col("clip")).select("audio_id", status.alias("status"), "is_music")
+
+
 def joined_ssl(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "ssl_candidates").drop("selection_score")
-    return features.join_features(rows, quality(spark, d), overlap(spark, d))
+    return features.join_features(rows, quality(spark, d), overlap(spark, d), clip_music(spark, d))
 
 
 def ssl_reasons() -> Column:
     return gates.all_reasons(
-        gates.quality_reasons(F.col("duration"), F.col("sample_rate"), F.col("q"), F.col("o"), F.col("m"), OPEN_SSL),
+        gates.quality_reasons(F.col("duration"), F.col("sample_rate"), F.col("q"), F.col("o"), F.col("m"), SSL_GATES),
         gates.language_reason(F.col("language"), ("uz", "ru")))
 
 
@@ -118,10 +131,19 @@ def labeled_split_assignment(spark: SparkSession, d: str) -> DataFrame:
 def labeled_split_counts(spark: SparkSession, d: str) -> DataFrame:
     """Last features, joins, gates, normalised text gates, split and counts: the labeled branch end to end."""
     rows = spread(table(spark, d, "labeled_manifest"))
-    assigned, _ = pipelines.run_labeled_split(rows, quality(spark, d), overlap(spark, d), quality_gates=OPEN_LABELED, salt="s1")
+    config = LabeledSplit(OPEN_LABELED, group_key="speaker_id", stratify_keys=("language", "dataset"), salt="s1")
+    assigned, _ = pipelines.run_labeled_split(rows, quality(spark, d), overlap(spark, d), clip_music(spark, d), config)
     return split.split_counts(assigned, ["language"])
 
 
+def labeled_gate_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """All reasons of every labeled row with all feature tables required."""
+    rows = spread(table(spark, d, "labeled_manifest"))
+    config = LabeledSplit(allowed_languages=("uz", "ru", "kk"))
+    judged = pipelines.labeled_reasons(rows, quality(spark, d), overlap(spark, d), clip_music(spark, d), config)
+    return judged.select("line_number", F.array_join("reject_reasons", ",").alias("reasons"))
+
+
 def split_totals(spark: SparkSession, d: str) -> DataFrame:
     return split.split_counts(labeled_assignment(spark, d))
 
@@ -139,11 +161,11 @@ def hours_budget(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ssl_selection(spark: SparkSession, d: str) -> DataFrame:
-    """Gates, score, cap and budget over the last delivery of every candidate: the stage each one reached."""
-    columns = ["duration", "sample_rate", "language", "dataset", "source_audio_id", "delivered_at"]
-    rows = features.last_wins(table(spark, d, "ssl_candidates"), ["delivered_at"], columns)
-    out = pipelines.run_ssl_selection(rows, quality(spark, d), overlap(spark, d), quality_gates=OPEN_SSL, config=Selection(3, 0.5, ("uz", "ru")))
-    return out.select("audio_id", "stage")
+    """Gates, score, cap and budget over every row of the candidates, repeated ones too: the stage each one reached."""
+    rows = table(spark, d, "ssl_candidates").select("audio_id", "delivered_at", "duration", "sample_rate", "language", "dataset", "source_audio_id")
+    config = Selection(SSL_GATES, ("uz", "ru"), 3, 0.5)
+    out = pipelines.run_ssl_selection(rows, quality(spark, d), overlap(spark, d), clip_music(spark, d), config, ties=("delivered_at",))
+    return out.select("audio_id", "delivered_at", "stage")
 
 
 def selected_by_language_dataset(spark: SparkSession, d: str) -> DataFrame:
@@ -156,7 +178,7 @@ def selected_hours(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spans(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "ssl_candidates").where(F.col("source_audio_id").isNotNull())
+    rows = table(spark, d, "ssl_candidates")
     one = F.array(F.struct(F.col("source_start").alias("start"), F.col("source_end").alias("end")))
     return rows.select(F.col("audio_id").alias("source"), "delivered_at", one.alias("spans"))
 
@@ -206,10 +228,6 @@ def overlap_corpus_ratio(spark: SparkSession, d: str) -> DataFrame:
     return report.ratio_of_sums(table(spark, d, "overlap_features"), "overlap_duration", "duration", "corpus_overlap_ratio")
 
 
-def music_windows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("clip"), (F.col("l_discount") * 10 + 0.0).alias("p"))
-
-
 def music_clip_rollup(spark: SparkSession, d: str) -> DataFrame:
     return music.clip_rollup(music_windows(spark, d), "clip", "p", 0.5)
 
@@ -235,9 +253,12 @@ def label_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_metrics_mono(spark: SparkSession, d: str) -> DataFrame:
-    return waves(spark, d).select("vec_id", signal.metrics_of(F.col("samples"), F.lit(1000)).alias("x")).select(
-        "vec_id", "x.num_samples", "x.rms_dbfs", "x.peak_dbfs", "x.noise_floor_dbfs", "x.active_rms_dbfs", "x.silence_ratio", "x.active_ratio",
-        "x.clipping_ratio", "x.dc_offset_mean_abs", "x.zero_crossing_rate")
+    return waves(spark, d).select("vec_id", signal.metrics_of(F.col("samples"), F.lit(1000)).alias("x")).select("vec_id", "x.*")
+
+
+def quality_metrics_stereo(spark: SparkSession, d: str) -> DataFrame:
+    """The same samples taken as two interleaved channels."""
+    return waves(spark, d).select("vec_id", signal.metrics_of(F.col("samples"), F.lit(1000), F.lit(2)).alias("x")).select("vec_id", "x.*")
 
 
 def quality_score(spark: SparkSession, d: str) -> DataFrame:
@@ -276,11 +297,14 @@ def error_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """The recordings written as JSON lines and read again with their line numbers."""
+    """The recordings written as JSON lines and read again, and what their line numbers are: as many as lines, from 1 in each file."""
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jsonl-{uuid.uuid4().hex}"
-    manifests.write_jsonl(table(spark, d, "raw_unlabeled").drop("recorded_at"), folder)
-    return manifests.read_manifest(spark, folder, "audio_id string, duration double, sample_rate int, language string").select(
-        "line_number", "audio_id", "duration", "sample_rate", "language")
+    manifests.write_jsonl(table(spark, d, "raw_unlabeled").withColumn("recorded_at", F.col("recorded_at").cast("string")), folder)
+    rows = cut(manifests.read_manifest(spark, folder, RAW_UNLABELED + ", recorded_at string"))
+    manifests.remove(spark, folder)
+    files = rows.groupBy("file").agg(F.count_distinct("line_number").alias("n"), F.min("line_number").alias("low"), F.max("line_number").alias("high"))
+    lines = files.agg(F.sum("n").alias("num_lines"), F.min("low").alias("first_line"), F.sum("high").alias("last_lines"))
+    return rows.drop("file_ord", "file", "line_number", "raw").crossJoin(F.broadcast(lines))
 
 
 def energy_vad_segments(spark: SparkSession, d: str) -> DataFrame:
@@ -296,11 +320,11 @@ def energy_vad_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    labeled_split_counts, labeled_split_assignment, split_totals, gate_reasons, reject_histogram, text_gate_reasons, normalized_text,
+    labeled_split_counts, labeled_gate_reasons, labeled_split_assignment, split_totals, gate_reasons, reject_histogram, text_gate_reasons, normalized_text,
     normalized_text_unicode, normalized_text_options, feature_last_wins, shard_union, anti_missing, selection_score, source_cap, hours_budget, ssl_selection,
     selected_by_language_dataset, selected_hours, stable_hash, split_long_segments, vad_source_summary, clip_manifest, materialized_slices,
     overlap_features, overlap_corpus_ratio, music_clip_rollup, music_totals, music_top_labels, music_windows_padded, label_index,
-    quality_metrics_mono, quality_score, level_round_trip, shard_and_limit, shard_totals, run_totals, path_resolution, error_rows, jsonl_roundtrip, energy_vad_segments,
+    quality_metrics_mono, quality_metrics_stereo, quality_score, level_round_trip, shard_and_limit, shard_totals, run_totals, path_resolution, error_rows, jsonl_roundtrip, energy_vad_segments,
 )
 
 

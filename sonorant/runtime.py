@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -36,22 +36,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Session setting: partitions of a scan before costly work on each row. Unset, scans stay as they are read.
+SCAN_PARTITIONS = "spark.sonorant.scanPartitions"
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """A table just read, in partitions enough for all cores, before costly work on each row.
+    """A table just read, before costly work on each row.
 
-    Only small inputs have fewer (a single small file is one partition); for any
-    other this is no operation, so a corpus is never shuffled by it.
+    The plan does not depend on the table: it is the scan, unless the session
+    sets SCAN_PARTITIONS, which is for tables laid out in fewer row groups than
+    there are cores (a single small file is one task otherwise).
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = scan.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return scan.repartition(int(wanted)) if wanted else scan
 
 
 def global_row_numbers(df: DataFrame, order: list, number: str) -> DataFrame:
     """Number all rows 0, 1, 2 ... in a total order without bringing them into one task.
 
     Rows are range-partitioned and sorted, each partition numbers its own rows,
-    and the offsets of the partitions (one small row each) are broadcast. The
-    order must be total (end in a unique key), or equal rows may swap.
+    and the offsets of the partitions are broadcast: one small row each, so no
+    more than the partitions the session asks for. The order must be total (end
+    in a unique key), or equal rows may swap.
     """
     local, part = "__local_row", "__part_row"
     ranged = cut(
@@ -63,12 +69,7 @@ def global_row_numbers(df: DataFrame, order: list, number: str) -> DataFrame:
         local, F.col(local).bitwiseAND(F.lit((1 << 33) - 1))
     )
     counts = ranged.groupBy(part).agg(F.count("*").alias("__rows"))
-    before = counts.alias("a").join(
-        F.broadcast(counts.alias("b")), F.col(f"b.{part}") < F.col(f"a.{part}"), "left"
-    )
-    offsets = before.groupBy(F.col(f"a.{part}").alias(part)).agg(
-        F.coalesce(F.sum("b.__rows"), F.lit(0)).alias("__offset")
-    )
+    offsets = counts.select(part, (F.sum("__rows").over(Window.orderBy(part)) - F.col("__rows")).alias("__offset"))
     return (
         ranged.join(F.broadcast(offsets), part)
         .withColumn(number, F.col("__offset") + F.col(local))

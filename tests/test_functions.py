@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sonorant.config import AudioQuality, Selection, SplitRatios, TextNormalization, Vad
+from sonorant.config import AudioQuality, LabeledSplit, Music, Overlap, Selection, SplitRatios, TextNormalization, Vad
 from sonorant.functions import hashing, intervals, signal, text
 from sonorant.operators import music, sharding
 from sonorant.plans.pipelines import windows_of
@@ -40,13 +40,37 @@ def test_hash_and_run_ids(spark):
     assert a.startswith("vad_") and len(a) == 20
 
 
+def test_run_ids_are_hashes_over_the_stages_own_settings():
+    """The settings' names and defaults are an interface: the hashed text is written out here."""
+
+    def want(prefix, text):
+        return f"{prefix}_{hashlib.sha256(text.encode()).hexdigest()[:16]}"
+
+    vad = ('{"max_segment_duration":30.0,"max_threads":1,"min_segment_duration":1.5,"min_silence_duration_ms":1000,"min_speech_duration_ms":250,'
+           '"speech_pad_ms":300,"target_sample_rate":16000,"threshold":0.5}')
+    assert hashing.stage_run_id("vad", "m.jsonl", Vad(), 2, 5, None) == want("vad", f"m.jsonl|{vad}|2|5|None")
+    over = '{"max_threads":1,"min_overlap_duration":0.1,"model_name":"pyannote/overlapped-speech-detection"}'
+    assert hashing.stage_run_id("overlap", "m.jsonl", Overlap(), 0, 1, 7) == want("overlap", f"m.jsonl|{over}|0|1|7")
+    music = ('{"batch_size":8,"max_threads":1,"model_name":"MIT/ast-finetuned-audioset-10-10-0.4593","music_label":"Music","music_threshold":0.5,'
+             '"target_sample_rate":16000,"top_k_labels":5,"window_seconds":10.0}')
+    assert hashing.stage_run_id("music", "m.jsonl", Music()) == want("music", f"m.jsonl|{music}|0|1|None")
+    gates = ('"gates":{"drop_music":true,"max_clipping_ratio":0.005,"max_dc_offset":0.01,"max_duration":30.0,"max_overlap_ratio":%s,"max_rms_dbfs":-8.0,'
+             '"max_silence_ratio":%s,"min_duration":%s,"min_rms_dbfs":-40.0,"min_snr_db":%s,"require_music":true,"require_overlap":true,"require_quality":true,'
+             '"require_sample_rate_match":true,"target_sample_rate":16000}')
+    ssl = '{"allowed_languages":null,' + gates % (0.15, 0.5, 3.0, 8.0) + ',"max_clips_per_source":null,"target_hours":null}'
+    assert hashing.run_id("ssl", "m.jsonl", Selection()) == want("ssl", f"m.jsonl|{ssl}|")
+    labeled = ('{"allowed_languages":null,' + gates % (0.2, 0.6, 0.8, 5.0) + ',"group_key":"audio_id","max_chars_per_second":25.0,"min_chars_per_second":3.0,'
+               '"ratios":{"test":0.1,"train":0.8,"val":0.1},"require_text":true,"salt":"labeled_split_v1","stratify_keys":["dataset","language"]}')
+    assert hashing.run_id("split", "m.jsonl", LabeledSplit()) == want("split", f"m.jsonl|{labeled}|")
+
+
 def test_sine_and_clipping():
     t = np.arange(16_000) / 16_000
     sine = (0.1 * np.sin(2 * np.pi * 440 * t)).astype(np.float32).reshape(-1, 1)
     m = signal.metrics(sine, 16_000)
     assert m["peak_dbfs"] == -20.0 and m["duration"] == 1.0 and abs(m["zero_crossing_rate"] - 880) <= 2
     full = signal.metrics(np.ones((100, 1), np.float32), 100)
-    assert full["clipping_ratio"] == 1.0 and full["quality_score"] < 0.7
+    assert full["clipping_ratio"] == 1.0
     silent = signal.metrics(np.zeros((1600, 2), np.float32), 16_000)
     assert silent["rms_dbfs"] == -240.0 and silent["snr_estimate_db"] is None and silent["channels"] == 2
     nothing = signal.metrics(np.zeros((0, 1), np.float32), 16_000)
@@ -65,10 +89,14 @@ def test_frames_match_direct_sums():
 
 
 def test_metrics_in_arrow_batches(spark):
-    df = spark.createDataFrame([(1, [0.1, -0.2, 0.3, -0.1]), (2, None), (3, [])], "id int, s array<float>")
+    df = spark.createDataFrame([(1, [0.1, -0.2, 0.3, -0.1]), (2, None), (3, []), (4, [1.0] * 100)], "id int, s array<float>")
     got = {r.id: r.m for r in df.select("id", signal.metrics_of(F.col("s"), F.lit(4)).alias("m")).collect()}
     assert got[1].num_samples == 4 and got[1].zero_crossing_rate == 3.0
-    assert got[2].rms_dbfs is None and got[2].num_samples is None
+    assert got[2].rms_dbfs is None and got[2].num_samples is None and got[2].quality_score is None
+    assert got[4].clipping_ratio == 1.0 and got[4].quality_score < 0.7
+    two = spark.createDataFrame([([0.5, -0.5, 0.5, 0.5],)], "s array<float>")
+    both = two.select(signal.metrics_of(F.col("s"), F.lit(4), F.lit(2)).alias("m")).first().m
+    assert (both.channels, both.num_samples, both.dc_offset_mean_abs, both.dc_offset_max_abs) == (2, 2, 0.25, 0.5)
     assert got[3].num_samples == 0 and math.isnan(got[3].noise_floor_dbfs) and got[3].snr_estimate_db is None
 
 
@@ -107,6 +135,17 @@ def test_segment_names(spark):
     assert tuple(r) == ("unlabeled_001_vad_00003_01", 10.123, 12.988, 2.864)
 
 
+@pytest.mark.parametrize("rate,target", [(44_100, 16_000), (8_000, 16_000), (48_000, 16_000), (22_050, 16_000)])
+def test_resampling_keeps_low_tones_and_drops_high_ones(rate, target):
+    t, u = np.arange(rate) / rate, np.arange(target) / target
+    got = audio.resample(np.sin(2 * np.pi * 440 * t), rate, target)
+    assert len(got) == target and np.abs(got - np.sin(2 * np.pi * 440 * u))[200:-200].max() < 1e-3
+    if rate > 2.6 * target:
+        high = audio.resample(np.sin(2 * np.pi * 11_000 * t), rate, target)
+        assert np.abs(high)[200:-200].max() < 1e-3  # would fold to 5 kHz
+    assert len(audio.resample(np.zeros(0), rate, target)) == 0 and len(audio.resample(np.ones(3), rate, target)) == round(3 * target / rate)
+
+
 def test_music_rollup(spark):
     df = spark.createDataFrame([("c", 0.2), ("c", 0.9)], "clip string, p double")
     r = music.clip_rollup(df, "clip", "p", 0.5).first()
@@ -121,6 +160,12 @@ def test_wav_and_resampling(tmp_path):
     assert audio.write_wav(path, wave, 8000) and not audio.write_wav(path, wave, 8000) and audio.write_wav(path, wave, 8000, True)
     back, rate = audio.load(path)
     assert rate == 8000 and back.shape == (400, 2) and np.abs(back - wave).max() < 1e-4
+    part, _ = audio.load(path, 0.01, 0.0301)
+    assert np.array_equal(part, back[80:241]) and len(audio.load(path, 0.02, 0.01)[0]) == 0 and len(audio.load(path, 0.04, 9.0)[0]) == 80
+    for subtype, near in (("PCM_U8", 1 / 100), ("PCM_24", 1e-6), ("PCM_32", 1e-6)):
+        assert np.abs(audio.decode(audio.encode(wave, 8000, "wav", subtype))[0] - wave).max() < near
+    with pytest.raises(ValueError):
+        audio.encode(wave, 8000, "mp3")
     assert len(audio.load_mono(path, 16000)) == 800 and audio.load_channels(path)[0].shape == (2, 400)
     with pytest.raises(ValueError):
         audio.decode(b"fLaC....")
@@ -138,7 +183,7 @@ def test_scorers():
 
 
 def test_settings_are_checked():
-    for bad in (lambda: SplitRatios(0.9, 0.2, 0.1), lambda: Selection(-1), lambda: Vad(max_segment_duration=0)):
+    for bad in (lambda: SplitRatios(0.9, 0.2, 0.1), lambda: Selection(max_clips_per_source=-1), lambda: Vad(max_segment_duration=0)):
         with pytest.raises(ValueError):
             bad()
     assert unicodedata.normalize("NFKC", "ﬁ") == "fi"

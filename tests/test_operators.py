@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from sonorant import cli
-from sonorant.config import QualityGates, Selection, SplitRatios
+from sonorant.config import Materialize, QualityGates, Selection, SplitRatios
+from sonorant.functions import text
 from sonorant.functions.text import normalize_text
 from sonorant.operators import features, gates, report, selection, sharding, split
 from sonorant.plans import pipelines, registry
@@ -187,6 +188,10 @@ def test_stages_end_to_end(spark, corpus):
     clips = pipelines.materialize(segments, str(corpus / "clips")).collect()
     assert {c.outcome for c in clips} == {"written"} and all(abs(c.duration - 4.6) < 1e-6 for c in clips)
     assert {c.outcome for c in pipelines.materialize(segments, str(corpus / "clips")).collect()} == {"kept"}
+    again = pipelines.materialize(segments, str(corpus / "clips"), Materialize("wav", "PCM_24", True)).collect()
+    assert {c.outcome for c in again} == {"written"} and sorted(p.name for p in (corpus / "clips/audio").iterdir()) == ["a_vad_00000_00.wav", "a_vad_00001_00.wav"]
+    lost = segments.withColumn("source_audio_path", F.lit("/nowhere/x.wav"))
+    assert {c.outcome for c in pipelines.materialize(lost, str(corpus / "clips")).collect()} == {"error"}
     quality = pipelines.run_audio_quality(rows, run).collect()
     assert {(r.audio_id, r.status) for r in quality} == {("a", "ok"), ("gone", "error")} and quality[0].sample_rate == 16000
     music = {r.audio_id: r for r in pipelines.run_music(rows, run, FlatnessMusic()).collect()}
@@ -198,13 +203,69 @@ def test_stages_end_to_end(spark, corpus):
 
 
 def test_command_line(spark, corpus, capsys):
+    """Each stage reads what the one before wrote."""
+    lines = [
+        {"audio_id": "a", "audio_path": "audio/a.wav", "duration": 12.0, "sample_rate": 16000, "dataset": "d", "language": "uz", "split": None, "text": "salom dunyo " * 5, "speaker_id": "s", "own": {"x": [1, "ў"]}},
+        {"audio_id": "gone", "audio_path": "audio/none.wav", "duration": 1.0, "sample_rate": 16000, "dataset": "d", "language": "uz"}]
+    (corpus / "m.jsonl").write_text("\n".join(json.dumps(x, ensure_ascii=False) for x in lines) + "\n", encoding="utf-8")
     m, out = str(corpus / "m.jsonl"), str(corpus / "out")
-    result = cli.main(["quality", "--input-manifest", m, "--output", f"{out}/q"])
-    assert result["num_rows"] == 2 and result["num_errors"] == 1
-    selected = cli.main(["select", "--input-manifest", m, "--output", f"{out}/s", "--quality", f"{out}/q/rows", "--target-hours", "1"])
-    assert selected["selected"] + selected["rejected"] == 2 and (corpus / "out/s/report.json").exists()
-    done = cli.main(["split", "--input-manifest", m, "--output", f"{out}/l", "--quality", f"{out}/q/rows"])
-    assert done["rejected"] == 2 and done["reject_histogram"]["missing_text"] == 2
+    q = cli.main(["quality", "--input-manifest", m, "--output-features", f"{out}/q", "--output-metadata", f"{out}/q.json", "--frame-ms", "20"])
+    assert (q["num_rows"], q["num_errors"], q["num_input_rows"], q["audio_quality_config"]["frame_ms"]) == (2, 1, 2, 20.0)
+    assert json.loads((corpus / "out/q.json").read_text())["quality_run_id"] == q["quality_run_id"]
+    o = cli.main(["overlap", "--input-manifest", m, "--output-features", f"{out}/o", "--device", "cpu"])
+    assert o["corpus_overlap_ratio"] == 0.0 and o["versions"]["pyspark"]
+    k = cli.main(["music", "--input-manifest", m, "--output-features", f"{out}/m", "--music-threshold", "0.9", "--top-k-labels", "1", "--num-shards", "2"])
+    assert (k["num_rows"], k["num_skipped_shard_rows"], k["num_music"]) == (1, 1, 1)
+    v = cli.main(["vad", "--input-manifest", m, "--output-segments", f"{out}/v", "--output-summary", f"{out}/vs", "--min-segment-duration", "1.0"])
+    assert v["num_segments"] == 2 and v["num_errors"] == 1 and v["real_time_factor"] > 0
+    c = cli.main(["materialize", "--segments", f"{out}/v", "--output-dir", f"{out}/c", "--format", "wav", "--subtype", "PCM_16"])
+    assert (c["num_written_segments"], c["num_errors"]) == (2, 0) and (corpus / "out/c/audio/a_vad_00000_00.wav").exists()
+    with pytest.raises(SystemExit):
+        cli.main(["materialize", "--format", "mp3"])
+    features_of = ["--quality-features", f"{out}/q", "--overlap-features", f"{out}/o"]
+    open_gates = ["--min-snr-db", "-99", "--max-silence-ratio", "1", "--max-rms-dbfs", "0"]
+    s = cli.main(["select", "--input-manifest", m, *features_of, *open_gates, "--output-selected", f"{out}/s", "--output-rejected", f"{out}/r", "--output-metadata", f"{out}/s.json", "--target-hours", "1"])
+    assert (s["num_selected"], s["num_rejected"], s["selected_by_language"], s["config"]["target_hours"]) == (1, 1, {"uz": 1}, 1.0)
+    assert s["reject_histogram"] == {"quality_error": 1, "overlap_error": 1, "duration_too_short": 1}
+    written = json.loads("".join(p.read_text(encoding="utf-8") for p in (corpus / "out/s").glob("part*")))
+    assert written["own"] == {"x": [1, "ў"]} and written["selection_run_id"] == s["selection_run_id"] and written["selection_score"] > 0
+    strict = cli.main(["select", "--input-manifest", m, *features_of, "--music-features", f"{out}/m", *open_gates, "--output-selected", f"{out}/s2"])
+    assert strict["num_selected"] == 0 and strict["reject_histogram"]["music"] == 1 and strict["reject_histogram"]["missing_music"] == 1
+    kept = cli.main(["select", "--input-manifest", m, *features_of, "--music-features", f"{out}/m", *open_gates, "--keep-music", "--languages", "uz", "--output-selected", f"{out}/s3"])
+    assert kept["num_selected"] == 1
+    d = cli.main(["split", "--input-manifest", m, *features_of, *open_gates, "--output-dir", f"{out}/l", "--min-chars-per-second", "2", "--stratify-keys", "dataset"])
+    assert sum(d["split_counts"].values()) == 1 and d["reject_histogram"]["missing_text"] == 1 and d["config"]["salt"] == "labeled_split_v1"
+    part = next(k for k, n in d["split_counts"].items() if n)
+    row = json.loads("".join(p.read_text(encoding="utf-8") for p in (corpus / f"out/l/splits/__part={part}").glob("part*")))
+    assert row["split"] == part and row["split_run_id"] == d["split_run_id"] and row["own"] == {"x": [1, "ў"]}
+    assert (corpus / "out/l/split_metadata.json").exists()
+    with pytest.raises(ValueError):
+        cli.main(["split", "--input-manifest", m, *features_of, "--output-dir", f"{out}/l", "--train-ratio", "0.9"])
+
+
+def test_many_files_are_one_scan_in_order(spark, tmp_path):
+    for i, name in enumerate(["b c", "a+ў", "z"]):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.jsonl").write_text(f'\n{{"audio_id":"x{i}"}}\n', encoding="utf-8")
+    (tmp_path / "one.jsonl").write_text('{"audio_id":"one"}\n')
+    paths = [str(tmp_path / "z"), str(tmp_path / "one.jsonl"), str(tmp_path / "b*"), f"file://{tmp_path}/a+ў"]
+    got = {r.audio_id: (r.file_ord, r.line_number) for r in manifest.read_manifest(spark, paths, "audio_id string").collect()}
+    assert got == {"x2": (0, 2), "one": (1, 1), "x0": (2, 2), "x1": (3, 2)}
+
+
+def test_scorers_travel_by_their_recipe():
+    import pickle
+
+    from sonorant import config, scorers
+
+    made = pickle.loads(pickle.dumps(scorers.Lazy(list, "x", labels=["a"])))
+    assert made.name == "x" and made.labels == ["a"] and made.made() == [] and made.made() is made.made()
+    assert pickle.loads(pickle.dumps(made)).__dict__.keys() == {"_build", "name", "labels"}
+    detector = scorers.speech_detector("energy", config.Vad(min_speech_duration_ms=100), "cpu")
+    assert isinstance(detector, EnergySpeech) and detector.min_speech == 100
+    assert isinstance(scorers.overlap_detector("none", config.Overlap()), NoOverlap) and isinstance(scorers.music_classifier("flatness", config.Music()), FlatnessMusic)
+    assert scorers.overlap_detector("pyannote", config.Overlap()).name == "pyannote/overlapped-speech-detection"
+    assert scorers.music_classifier("ast", config.Music()).name.startswith("MIT/")
 
 
 def test_stream(spark, tmp_path):
@@ -229,7 +290,7 @@ def test_selection_marks_every_row_once(spark):
     rows = [(f"c{i:02d}", f"s{i % 2}", 10.0, 16000, "uz", "d") for i in range(20)]
     df = spark.createDataFrame(rows, "audio_id string, source_audio_id string, duration double, sample_rate int, language string, dataset string")
     q = spark.createDataFrame([(f"c{i:02d}", *GOOD) for i in range(18)], "audio_id string, " + Q[7:-1].replace(":", " ").replace(",", ", "))
-    out = pipelines.run_ssl_selection(df, q, None, quality_gates=QualityGates(3, 30, require_overlap=False, require_music=False), config=Selection(5, 60 / 3600))
+    out = pipelines.run_ssl_selection(df, q, None, config=Selection(QualityGates(3, 30, require_overlap=False, require_music=False), None, 5, 60 / 3600))
     got = {r.stage: r["count"] for r in out.groupBy("stage").count().collect()}
     assert got == {"gates": 2, "source_cap": 8, "budget": 4, "selected": 6}
 
@@ -245,10 +306,12 @@ def test_top_labels_rank_every_label(spark, tmp_path):
 LINES = "line_number bigint, audio_id string, text string, duration double, sample_rate int, language string, dataset string, split string, speaker_id string"
 
 
-def write_labeled(spark, path, texts, quality=(), overlap=()):
+def write_labeled(spark, path, texts, quality=(), overlap=(), windows=()):
     rows = [(n, f"c{n}", t, 5.0, 16000, "uz", "d", None, "s") for n, t in enumerate(texts, 1)]
     spark.createDataFrame(rows, LINES).write.parquet(str(path / "labeled_manifest.parquet"))
-    spark.createDataFrame(list(quality), "audio_id string, computed_at timestamp, " + Q[7:-1].replace(":", " ")).write.parquet(str(path / "quality_features.parquet"))
+    numbered = spark.createDataFrame(list(quality), "audio_id string, computed_at timestamp, " + Q[7:-1].replace(":", " ")).withColumn("source_line_number", F.substring("audio_id", 2, 9).cast("bigint"))
+    numbered.write.parquet(str(path / "quality_features.parquet"))
+    spark.createDataFrame(list(windows), "l_orderkey bigint, l_discount double").write.parquet(str(path / "lineitem.parquet"))
     spark.createDataFrame(list(overlap), "audio_id string, computed_at timestamp, " + O[7:-1].replace(":", " ")).write.parquet(str(path / "overlap_features.parquet"))
 
 
@@ -269,6 +332,24 @@ def test_labeled_split_counts_see_the_last_features(spark, tmp_path):
     assert sum(r.n for r in registry.labeled_split_counts(spark, str(tmp_path)).collect()) == 3
 
 
+def test_all_gates_of_labeled_rows(spark, tmp_path):
+    """Clip 1 passes all but the text, 2 is music, 3 has no music row, 20 a failed one; the rest have nothing."""
+    at = datetime(2024, 1, 1)
+    good = [f"c{i}" for i in (1, 2, 3, 20)]
+    write_labeled(spark, tmp_path, ["!!!", *["salom dunyo va hamma"] * 19], [(c, at, *GOOD) for c in good], [(c, at, "ok", 0.0) for c in good], [(1, 0.0), (2, 0.1), (2, 0.0), (20, 0.0)])
+    got = {r.line_number: r.reasons for r in registry.labeled_gate_reasons(spark, str(tmp_path)).collect()}
+    assert (got[1], got[2], got[3], got[20]) == ("empty_text", "music", "missing_music", "music_error")
+    assert got[4] == "missing_quality,missing_overlap,missing_music"
+
+
+def test_fixed_values_of_texts_are_pinned():
+    """The SQL is made from the same constants, so they are written out here."""
+    assert text.MAPPED == "\xa0\u02bb\u02bc\u2019\u2018`\xb4\u02b9\u201c\u201d\u201e\xab\xbb\u2013\u2014\u2212"
+    assert text.REPLACED == " '''''''" + '"""""' + "---"
+    assert text.BRACKETED == r"\[[^\]]*\]|\([^)]*\)|\{[^}]*\}"
+    assert text.WORD == "0-9A-Za-z\u0410-\u042f\u0430-\u044f\u0401\u0451\u040e\u045e\u049a\u049b\u0492\u0493\u04b2\u04b3"
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) & set(registry.oracle_sql())))
 def test_queries_equal_their_sql(spark, name):
     from verify import canonical
