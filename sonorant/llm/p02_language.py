@@ -2,177 +2,38 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .ids import language_code
-from .p06_canonical import APOSTROPHES, LOOK_ALIKES
+from .kernel import OTHER, LanguageModel, fit, gram_keys, letters_of, seed_rows, shares, squeeze
 from .p10_spam import ProseModel, SPAM_SHARE, fit as fit_prose, spam_share
 
-#: Labelled seed sentences used for training at most, and landmarks among them.
-TRAIN_ROWS = 5_000
-LANDMARKS = 320
-#: Grams of one to three characters are hashed to so many features.
-BITS = 16
-RIDGE = 0.05
-#: Softmax temperature of the confidence.
-TEMPERATURE = 0.2
 #: Words of a text that counts, of a whole sentence, of a part of one that counts as a sentence, and of a piece of a text without sentence ends.
 MIN_WORDS, WHOLE_WORDS, SENTENCE_WORDS, PIECE_WORDS = 6, 4, 8, 12
 #: A sentence up to its mark is one, but each so many words of it count as one.
 LONG_WORDS = 24
 #: Whole sentences that make a language one of a mixed document, and the confidence they need, those under SENTENCE_WORDS more.
-SENTENCES, SURE, SHORT_SURE = 2, 0.8, 0.9
+SENTENCES, SURE, SHORT_SURE = 2, 0.8, 0.95
+#: Share of the bound of known languages below which a text is in none of them.
+FAR = 0.4
+#: Characters handled at once, which bounds a worker's memory.
 BLOCK = 400_000
 
-def _char_classes() -> np.ndarray:
-    """Class of each code point below 2^16: 0 ends a word, look-alikes share a class, case does not count."""
-    latin = {o: k for k, others in LOOK_ALIKES.items() for o in others if k.islower() or "Ͱ" <= o <= "Ͽ"}
-    classes = np.zeros(1 << 16, np.uint8)
-    taken: dict[str, int] = {}
-    common = "abcdefghijklmnopqrstuvwxyz'" + "бвгджзийклмнптфцчшщъыьэюяё" + "ўқғҳәңөұү" + "çğışöü"
-    for n, ch in enumerate(common, start=1):
-        taken[ch] = n
-    for code in range(1 << 16):
-        ch = chr(code)
-        if 0xFF21 <= code <= 0xFF5A:
-            ch = chr(code - 0xFEE0)
-        if ch in APOSTROPHES:
-            ch = "'"
-        elif not ch.isalpha():
-            continue
-        ch = latin.get(ch, ch).lower()
-        ch = latin.get(ch, ch)[0]
-        classes[code] = taken.get(ch, len(common) + 1)
-    return classes
-
-
-_CLASSES: np.ndarray | None = None
-#: Characters without ink, which do not end a word.
-_SKIP = np.array([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF], np.int32)
-_MARKS = np.array([ord(c) for c in ".!?…。！？"], np.int32)
-_ENDS = np.append(_MARKS, np.array([10, 13], np.int32))
-
-
-def classes_of(points: np.ndarray) -> np.ndarray:
-    global _CLASSES
-    if _CLASSES is None:
-        _CLASSES = _char_classes()
-    return _CLASSES[np.minimum(points, 0xFFFF)]
-
-
-def gram_keys(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Distinct (owner, feature) of the grams of one to three classes, packed into sorted integers.
-
-    `codes` are classes with single zeros between words; a gram never spans two owners.
-    """
-    c = codes.astype(np.uint64)
-    o = owner.astype(np.int64) << BITS
-
-    def hashed(grams, order):
-        mixed = (grams + np.uint64(order << 40)) * np.uint64(0x9E3779B97F4A7C15)  # wraps around, as meant
-        return (mixed >> np.uint64(64 - BITS)).astype(np.int64)
-
-    seven = np.uint64(7)
-    parts = [(o + hashed(c, 1))[codes > 0]]
-    if len(c) > 1:
-        two = (c[:-1] << seven) | c[1:]
-        parts.append((o[:-1] + hashed(two, 2))[owner[1:] == owner[:-1]])
-    if len(c) > 2:
-        three = (two[:-1] << seven) | c[2:]
-        parts.append((o[:-2] + hashed(three, 3))[(owner[2:] == owner[:-2]) & (codes[1:-1] > 0)])
-    keys = np.concatenate(parts)
-    keys.sort()
-    if len(keys):
-        keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))]
-    return keys
-
-
-@dataclass(frozen=True)
-class LanguageModel:
-    languages: list[str]
-    weights: np.ndarray  # features x languages: landmarks' presence vectors times their coefficients
-
-    def scores(self, keys: np.ndarray, owners: int) -> np.ndarray:
-        """One-versus-rest scores of each owner: its normalised presence vector times the weights."""
-        own = keys >> BITS
-        starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
-        out = np.zeros((owners, len(self.languages)), np.float32)
-        if len(starts):
-            sums = np.add.reduceat(self.weights[keys & ((1 << BITS) - 1)], starts, axis=0)
-            sizes = np.diff(np.append(starts, len(own)))
-            out[own[starts]] = sums / np.sqrt(sizes)[:, None]
-        return out
-
-
-def _codes(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Classes of all characters, their text, whether a sentence ends there (2 with a mark, 1 with a line), and their place in the text."""
-    lengths = np.array([len(t) for t in texts], np.int64)
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
-    place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    seen = ~np.isin(points, _SKIP)
-    points, owner, place = points[seen], owner[seen], place[seen]
-    return classes_of(points), owner, np.isin(points, _ENDS).astype(np.int8) + np.isin(points, _MARKS), place
-
-
-def _squeeze(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    zero = codes == 0
-    keep = ~zero
-    if len(codes):
-        keep[0] = True
-        keep[1:] |= zero[1:] & ~(zero[:-1] & (owner[1:] == owner[:-1]))
-    return codes[keep], owner[keep]
-
-
-def fit(rows: list[tuple[str, str]]) -> LanguageModel:
-    """Kernel ridge regression, one language versus the rest, over Nyström landmarks.
-
-    The kernel of two texts is the number of grams both have over the root of
-    the product of their numbers of grams. Features are the kernel values with
-    the landmarks, whitened by the landmarks' own kernel matrix. A score is a
-    kernel row times coefficients; since the kernel is a product of presence
-    vectors, the landmarks' vectors and the coefficients are multiplied once,
-    here, and scoring is one product of presence vectors with that matrix.
-    """
-    rows = [(language, text) for language, text in rows if language and text]
-    languages = sorted({r[0] for r in rows})
-    codes, owner, _, _ = _codes([" " + t for _, t in rows])
-    keys = gram_keys(*_squeeze(codes, owner))
-    x = np.zeros((len(rows), 1 << BITS), np.float32)
-    x[keys >> BITS, keys & ((1 << BITS) - 1)] = 1
-    x /= np.sqrt(np.maximum(1, x.sum(1, keepdims=True)))
-    step = max(1, -(-len(rows) // LANDMARKS))
-    marks = x[::step]
-    kernel = (marks @ marks.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(kernel)
-    good = values > 1e-6 * values.max()
-    whiten = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ marks.T).astype(np.float64) @ whiten
-    y = np.where(np.array([r[0] for r in rows])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    w = np.linalg.solve(phi.T @ phi + RIDGE * np.eye(phi.shape[1]), phi.T @ y)
-    return LanguageModel(languages, (marks.T @ (whiten @ w)).astype(np.float32))
-
-
-def seed_rows(seeds: DataFrame) -> list[tuple[str, str]]:
-    rows = seeds.orderBy("seed_id").select("language", "text").limit(TRAIN_ROWS).collect()
-    return [(r[0], r[1]) for r in rows]
-
 
 def pieces(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
-    """Pieces of all texts in order: (text, language index, confidence, words, sentence, start, whether its sentence ends with a mark).
+    """Pieces of all texts in order: (text, language index, confidence, words, sentence, start, whether its sentence ends with a mark, best score).
 
     A piece is a sentence, or PIECE_WORDS words of one without an end. Pieces of
     fewer than four words say little: they take the language of the last longer
-    piece of their text.
+    piece of their text. A language index beyond the model's is none of them.
     """
-    codes, owner, ends, place = _codes([" " + t for t in texts])
+    codes, owner, ends, place = letters_of([" " + t for t in texts])
+    none = np.zeros(0, np.int64)
+    nothing = none, none, none.astype(np.float32), none, none, none, none.astype(bool), none.astype(np.float32)
     if not len(codes):
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.float32), none, none, none, none.astype(bool)
+        return nothing
     word_start = (codes > 0) & np.concatenate(([True], (codes[:-1] == 0) | (owner[1:] != owner[:-1])))
     # A sentence begins after an end, or with a text.
     cut = np.concatenate(([True], (ends[:-1] > 0) | (owner[1:] != owner[:-1])))
@@ -187,18 +48,21 @@ def pieces(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, ...]:
     number = int(piece[-1]) + 1
     count = np.bincount(piece[word_start], minlength=number)
     starts = np.flatnonzero(cut)
-    scores = model.scores(gram_keys(*_squeeze(codes, piece)), number)
-    best = scores.argmax(1)
-    confidence = (1 / np.exp((scores - scores.max(1, keepdims=True)) / TEMPERATURE).sum(1)).astype(np.float32)
+    scores = model.scores(gram_keys(*squeeze(codes, piece)), number)
     keep = count > 0
-    of, best, confidence, count = owner[starts][keep], best[keep], confidence[keep], count[keep]
+    if not keep.any():
+        return nothing
+    best, confidence, top = scores.argmax(1), shares(scores).astype(np.float32), scores.max(1)
+    of, best, confidence, count, top = owner[starts][keep], best[keep], confidence[keep], count[keep], top[keep]
+    # A whole piece that every one-versus-rest classifier denies is in another language.
+    best = np.where((count >= PIECE_WORDS - 1) & (top < min(0.0, model.bound)), len(model.languages), best)
     firm = np.where(count >= 4, np.arange(len(of)), -1)
     last = np.maximum.accumulate(firm)
     follow = (firm < 0) & (last >= 0)
     follow[follow] = of[last[follow]] == of[follow]
     best[follow] = best[last[follow]]
     # The space put in front of each text is no part of it.
-    return of, best, confidence, count, sentence[starts][keep], np.maximum(place[starts][keep] - 1, 0), marked[sentence[starts][keep]]
+    return of, best, confidence, count, sentence[starts][keep], np.maximum(place[starts][keep] - 1, 0), marked[sentence[starts][keep]], top
 
 
 def _runs(best: np.ndarray, confidence: np.ndarray, count: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -208,6 +72,20 @@ def _runs(best: np.ndarray, confidence: np.ndarray, count: np.ndarray, sentence:
     return starts, total, np.add.reduceat(confidence * count, starts) / total
 
 
+def _settled(model: LanguageModel, language: int, share: float, top: float, words: int) -> tuple[str, float]:
+    """Language and confidence of words in one language: none of those known where their mean best score lies far below the bound.
+
+    Odd characters, names and noise lower the score of a known language too, so
+    FAR of the bound decides; between it and the bound the confidence is low. The
+    score grows with the words seen, so fewer than PIECE_WORDS are only in none
+    where every classifier says no.
+    """
+    known = float(model.known(np.float64(top)))
+    if language == len(model.languages) or top < min(0.0 if words < PIECE_WORDS else FAR * model.bound, model.bound):
+        return OTHER, 1 - known
+    return model.languages[language], share * (known if words >= PIECE_WORDS else max(known, 0.5))
+
+
 def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tuple[str, float, int, int]]]:
     """For each text its languages as (language, confidence, words, whole sentences), most words first.
 
@@ -216,7 +94,7 @@ def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tupl
     WHOLE_WORDS, or is long enough to be one; without a mark at its end each
     PIECE_WORDS of it count as one.
     """
-    of, best, confidence, count, sentence, _, marked = pieces(texts, model)
+    of, best, confidence, count, sentence, _, marked, top = pieces(texts, model)
     out: list[list[tuple[str, float, int, int]]] = [[] for _ in texts]
     if not len(of):
         return out
@@ -226,18 +104,23 @@ def languages_of_texts(texts: list[str], model: LanguageModel) -> list[list[tupl
     alone = apart[:-1] & apart[1:]
     estimated = total // np.where(alone & marked[starts], LONG_WORDS, PIECE_WORDS)
     whole = np.where(total < np.where(alone, WHOLE_WORDS, SENTENCE_WORDS), 0, np.maximum(1, estimated))
-    k = len(model.languages)
+    k = len(model.languages) + 1
     cell = of[starts].astype(np.int64) * k + best[starts]
     size = len(texts) * k
+    height = np.add.reduceat(top * count, starts) / total
+    certain = (sure >= np.where(total < SENTENCE_WORDS, SHORT_SURE, SURE)) | (best[starts] == k - 1)
     n_words = np.bincount(cell, total, size).reshape(-1, k)
     n_sure = np.bincount(cell, sure * total, size).reshape(-1, k)
-    n_whole = np.bincount(cell, whole * (sure >= np.where(total < SENTENCE_WORDS, SHORT_SURE, SURE)), size).reshape(-1, k)
+    n_top = np.bincount(cell, height * total, size).reshape(-1, k)
+    n_whole = np.bincount(cell, whole * certain, size).reshape(-1, k)
     for i in np.flatnonzero(n_words.sum(1) > 0).tolist():
-        found = [
-            (model.languages[c], float(n_sure[i, c] / n_words[i, c]), int(n_words[i, c]), int(n_whole[i, c]))
-            for c in np.flatnonzero(n_words[i]).tolist()
-        ]
-        out[i] = sorted(found, key=lambda x: (-x[2], x[0]))
+        found: dict[str, tuple[str, float, int, int]] = {}
+        for c in np.flatnonzero(n_words[i]).tolist():
+            words = int(n_words[i, c])
+            language, share = _settled(model, c, float(n_sure[i, c] / words), float(n_top[i, c] / words), words)
+            _, old, more, sentences = found.get(language, (language, 0.0, 0, 0))
+            found[language] = (language, (old * more + share * words) / (more + words), more + words, sentences + int(n_whole[i, c]))
+        out[i] = sorted(found.values(), key=lambda x: (-x[2], x[0]))
     return out
 
 
@@ -249,136 +132,145 @@ def segments_of_texts(texts: list[str], model: LanguageModel) -> list[list[tuple
     without a mark (LONG_WORDS of one with it) are a stretch, and what follows
     them is theirs up to the next.
     """
-    of, best, confidence, count, sentence, start, marked = pieces(texts, model)
+    of, best, confidence, count, sentence, start, marked, top = pieces(texts, model)
     out: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
     if not len(of):
         return out
-    k = len(model.languages)
+    k = len(model.languages) + 1
     order = np.unique(sentence, return_inverse=True)[1]
     votes = np.bincount(order * k + best, count, (order.max() + 1) * k).reshape(-1, k)
     runs, total, certain = _runs(best, confidence, count, sentence)
-    firm = (total >= np.where(marked[runs], LONG_WORDS, PIECE_WORDS)) & (certain >= SURE)
+    other = best[runs] == k - 1  # a single such piece may be one in which two languages meet
+    firm = (total >= np.where(marked[runs] | other, LONG_WORDS, PIECE_WORDS)) & ((certain >= SURE) | other)
     held = np.repeat(firm, np.diff(np.append(runs, len(best))))
     last = np.maximum.accumulate(np.where(held, np.arange(len(best)), -1))
     theirs = (last >= 0) & (sentence[last] == sentence)
     best = np.where(theirs, best[last], votes.argmax(1)[order])
     new = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (best[1:] != best[:-1]))))
-    sure = np.add.reduceat(confidence * count, new) / np.add.reduceat(count, new)
+    words = np.add.reduceat(count, new)
+    sure = np.add.reduceat(confidence * count, new) / words
+    height = np.add.reduceat(top * count, new) / words
     for at, i in enumerate(new.tolist()):
         text = int(of[i])
         following = at + 1 < len(new) and of[new[at + 1]] == text
         end = int(start[new[at + 1]]) if following else len(texts[text])
-        out[text].append((int(start[i]) if out[text] else 0, end, model.languages[best[i]], float(sure[at])))
+        language, share = _settled(model, int(best[i]), float(sure[at]), float(height[at]), int(words[at]))
+        out[text].append((int(start[i]) if out[text] else 0, end, language, share))
     return out
 
 
-_RESULT = "record_table string, record_id bigint, language string, confidence double, mixed boolean"
+def _blocks(texts: list[str]):
+    """Bounds of neighbouring texts of about BLOCK characters."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= BLOCK:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
-def label_records(records: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(record_table, record_id, language, confidence, mixed) for records (record_table, record_id, text, may_mix).
+_FIELDS = (("record_table", pa.string()), ("record_id", pa.int64()), ("code", pa.string()), ("language", pa.string()), ("confidence", pa.float64()), ("mixed", pa.bool_()))
+_RESULT = "record_table string, record_id bigint, code string, language string, confidence double, mixed boolean"
 
-    A record with at least SENTENCES whole sentences in each of several
-    languages gives a row for each, mixed; any other gives one row with the
-    language of most of its words. Texts under six words and, where may_mix,
-    spam pages (the operator of problem 10) give none; neither do null and
-    blank texts. Repeated rows come out repeated. A map over Arrow batches with
-    the fitted models as a broadcast.
+
+def label_records(records: DataFrame, seeds: DataFrame, wrong_only: bool = False) -> DataFrame:
+    """(record_table, record_id, code, language, confidence, mixed) for records (record_table, record_id, text, may_mix, code).
+
+    Every record with any text gets its language, `other` where it is in none of
+    the seeds' languages or has no letters (then with confidence 0). A record
+    with at least SENTENCES whole sentences in each of several languages gives a
+    row for each, mixed. Null and blank texts give none, repeated rows come out
+    repeated. A map over Arrow batches with the fitted models as a broadcast.
+
+    With `wrong_only`, texts under MIN_WORDS give none, nor do records in one
+    language that is their label's `code` or is none of the seeds'; `other`
+    makes no record mixed; and of what is left, where may_mix, no spam
+    pages (the operator of problem 10).
     """
     rows = seed_rows(seeds)
-    models = records.sparkSession.sparkContext.broadcast((fit(rows), fit_prose(rows)))
+    models = records.sparkSession.sparkContext.broadcast((fit(rows), fit_prose(rows) if wrong_only else None))
 
     def run(batches):
         model, prose = models.value
         for batch in batches:
-            tables, ids, texts, may = (batch.column(i).to_pylist() for i in range(4))
-            start = 0
-            while start < len(texts):
-                stop, held = start, 0
-                while stop < len(texts) and held < BLOCK:
-                    held += len(texts[stop] or "")
-                    stop += 1
-                part = slice(start, stop)
-                start = stop
-                yield _label_block(tables[part], ids[part], texts[part], may[part], model, prose)
-
-    chosen = records.select("record_table", "record_id", F.col("text").cast("string").alias("text"), "may_mix")
+            tables, ids, texts, may, codes = (batch.column(i).to_pylist() for i in range(5))
+            texts = [t or "" for t in texts]
+            for a, b in _blocks(texts):
+                found = languages_of_texts(texts[a:b], model)
+                out: tuple[list, ...] = tuple([] for _ in _FIELDS)
+                for i, langs in zip(range(a, b), found):
+                    labels = _wrong(texts[i], may[i], codes[i], langs, prose) if wrong_only else _all(texts[i], may[i], langs)
+                    for language, sure, mixed in labels:
+                        for column, value in zip(out, (tables[i], ids[i], codes[i], language, sure, mixed)):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(out, _FIELDS)], names=[n for n, _ in _FIELDS])
+
+    chosen = records.select("record_table", "record_id", F.col("text").cast("string").alias("text"), "may_mix", "code")
     return chosen.mapInArrow(run, _RESULT)
 
 
+def _several(may: bool, langs: list) -> list:
+    several = [x for x in langs if x[3] >= SENTENCES] if may else []
+    return several if len(several) > 1 else []
+
+
+def _all(text: str, may: bool, langs: list) -> list[tuple[str, float, bool]]:
+    if not langs:
+        return [(OTHER, 0.0, False)] if text.strip() else []
+    several = _several(may, langs)
+    return [(x[0], x[1], bool(several)) for x in several or langs[:1]]
+
+
+def _wrong(text: str, may: bool, code: str | None, langs: list, prose: ProseModel) -> list[tuple[str, float, bool]]:
+    if sum(x[2] for x in langs) < MIN_WORDS:
+        return []
+    several = _several(may, [x for x in langs if x[0] != OTHER])
+    out = [(x[0], x[1], bool(several)) for x in several or langs[:1] if x[0] != OTHER and (several or x[0] != code)]
+    return [] if out and may and spam_share(text, prose) > SPAM_SHARE else out
+
+
 def mixed_segments(documents: DataFrame, seeds: DataFrame) -> DataFrame:
     """(doc_id, segment, first, last, language, confidence) of mixed documents: characters [first, last) of each stretch.
 
     The stretches of a document cover it in order. Documents in one language,
-    spam, short, blank and null texts give none.
+    blank and null texts give none.
     """
-    rows = seed_rows(seeds)
-    models = documents.sparkSession.sparkContext.broadcast((fit(rows), fit_prose(rows)))
+    model_of = documents.sparkSession.sparkContext.broadcast(fit(seed_rows(seeds)))
+    fields = (("doc_id", pa.int64()), ("segment", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("language", pa.string()), ("confidence", pa.float64()))
 
     def run(batches):
-        model, prose = models.value
+        model = model_of.value
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            start = 0
-            while start < len(texts):
-                stop, held = start, 0
-                while stop < len(texts) and held < BLOCK:
-                    held += len(texts[stop])
-                    stop += 1
-                part = texts[start:stop]
-                mixed = [
-                    i for i, langs in enumerate(languages_of_texts(part, model))
-                    if sum(x[3] >= SENTENCES for x in langs) > 1 and spam_share(part[i], prose) <= SPAM_SHARE
-                ]
-                for i, found in zip(mixed, segments_of_texts([part[i] for i in mixed], model)):
+            for a, b in _blocks(texts):
+                mixed = [a + i for i, langs in enumerate(languages_of_texts(texts[a:b], model)) if _several(True, langs)]
+                out: tuple[list, ...] = tuple([] for _ in fields)
+                for i, found in zip(mixed, segments_of_texts([texts[i] for i in mixed], model)):
                     for n, segment in enumerate(found):
-                        for column, value in zip(out, (keys[start + i], n, *segment)):
+                        for column, value in zip(out, (keys[i], n, *segment)):
                             column.append(value)
-                start = stop
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "segment", "first", "last", "language", "confidence"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(out, fields)], names=[n for n, _ in fields])
 
     chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(run, "doc_id bigint, segment int, first int, last int, language string, confidence double")
 
 
-def _label_block(tables, ids, texts, may, model: LanguageModel, prose: ProseModel) -> pa.RecordBatch:
-    found = languages_of_texts([t or "" for t in texts], model)
-    out: tuple[list, ...] = ([], [], [], [], [])
-    for table, record, text, mix, langs in zip(tables, ids, texts, may, found):
-        if not langs or sum(x[2] for x in langs) < MIN_WORDS:
-            continue
-        if mix and spam_share(text, prose) > SPAM_SHARE:
-            continue
-        several = [x for x in langs if x[3] >= SENTENCES] if mix else []
-        mixed = len(several) > 1
-        for language, sure, _, _ in several if mixed else langs[:1]:
-            for column, value in zip(out, (table, record, language, sure, mixed)):
-                column.append(value)
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.float64(), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["record_table", "record_id", "language", "confidence", "mixed"])
-
-
 def records_of(documents: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Both tables as records; only documents may be mixed. `code` is the language that the label names, if any."""
     return documents.select(
         F.lit("documents").alias("record_table"), F.col("doc_id").cast("bigint").alias("record_id"),
-        "text", F.lit(True).alias("may_mix"), F.col("lang").alias("label"),
+        "text", F.lit(True).alias("may_mix"), language_code(F.col("lang")).alias("code"),
     ).unionByName(manifest.select(
         F.lit("labeled_manifest").alias("record_table"), F.col("line_number").cast("bigint").alias("record_id"),
-        "text", F.lit(False).alias("may_mix"), F.col("language").alias("label"),
+        "text", F.lit(False).alias("may_mix"), language_code(F.col("language")).alias("code"),
     ))
 
 
 def wrong_labels(documents: DataFrame, manifest: DataFrame, seeds: DataFrame) -> DataFrame:
     """(record_table, record_id, language) of mixed documents, one row a language, and of records whose label is missing, no language or wrong."""
-    records = records_of(documents, manifest)
-    labels = records.select("record_table", "record_id", "text", "may_mix", language_code(F.col("label")).alias("code"))
-    # The label rides along in the table's name, so no join back is needed.
-    tagged = labels.withColumn("record_table", F.concat_ws("|", "record_table", F.coalesce("code", F.lit(""))))
-    out = label_records(tagged, seeds)
-    name, code = F.substring_index("record_table", "|", 1), F.substring_index("record_table", "|", -1)
-    return out.where(F.col("mixed") | (code != F.col("language"))).select(name.alias("record_table"), "record_id", "language")
+    return label_records(records_of(documents, manifest), seeds, wrong_only=True).select("record_table", "record_id", "language")
 
 
 def all_labels(documents: DataFrame, manifest: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -5,22 +5,37 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .kernel import LanguageModel, fit as fit_kernel, seed_rows
 from .plain import plain
 
-#: Seed sentences collected to the driver at most; the seed table does not grow with the corpus.
-SEED_ROWS = 5_000
 #: Seed sentences of its language a function word occurs in at least; calibrated upwards for each language.
 FUNCTION_DF = 3
 #: Share of a text that makes it spam.
 SPAM_SHARE = 0.5
 #: Words in a run at least before it can count, and in a window of a text without sentence ends.
 RUN_WORDS, WINDOW = 8, 16
+#: Share of function words, in units of the least of a sentence, below which a run lacks them (nearly all sentences have two or more).
+MISSING = 0.75
 #: Words of a run that is keywords for want of function words alone.
 LONG_RUN = 24
+#: Least bounds of the shares of repeated words (alone; with another sign), of repeated pairs and of separators a word, and of digits and
+#: repeated lines. A language's own are higher where its prose comes near them: so many times what nearly all its prose stays under.
+ALONE, REPEATED, PAIRED, DENSE, DIGITS, DOUBLED = 0.6, 0.35, 0.3, 0.15, 0.15, 0.3
+ABOVE_PROSE = 1.25
+#: Separators a word from which a run is a list in any language, and words of its units on average up to which it may be one.
+LISTED, SHORT_UNIT = 0.3, 6
+#: Where the language is not known: letters of words that its function words are among, their share in any prose, and letters of words on
+#: average beyond which a script does not part words.
+SHORT_LETTERS, SHORT_SHARE, UNPARTED = 3, 0.1, 14
+#: Words in which repetitions of prose are counted.
+STRETCH = 48
+#: A window of a text without sentence ends needs so many times a sentence's least share of function words, which a list may reach by chance.
+WINDOW_SHARE = 1.5
 #: Labels of one page that may be speakers', and words each says on average where there are more than two.
 SPEAKERS, SPOKEN_WORDS = 8, 3
 
@@ -42,9 +57,53 @@ class ProseModel:
     words: dict[str, frozenset[str]]
     least: dict[str, float]  # different function words for each word of a sentence, calibrated
     languages_of: dict[str, tuple[str, ...]] = field(default_factory=dict)
-
-
-def fit(rows: list[tuple[str, str]]) -> ProseModel:
+    bounds: dict[str, tuple[float, float, float, float]] = field(default_factory=dict)  # ALONE, REPEATED, PAIRED and DENSE of a language, calibrated
+    kernel: LanguageModel | None = None
+
+    def language(self, words: list[str]) -> str | None:
+        """The language of a run of words, null where it is none of those known: its function words are then unknown."""
+        scores = self.kernel.of_texts([" ".join(words)])[0]
+        return self.kernel.languages[int(scores.argmax())] if scores.max() >= self.kernel.bound else None
+
+    def bounds_of(self, language: str | None) -> tuple[float, float, float, float]:
+        """Of a language, or the highest of all where it is not known."""
+        if language in self.bounds:
+            return self.bounds[language]
+        return tuple(max(x) for x in zip((ALONE, REPEATED, PAIRED, DENSE), *self.bounds.values()))
+
+
+def _repeats(words: list[str]) -> tuple[float, float]:
+    """Share of words that come three times, and of pairs that come twice, within stretches of STRETCH words."""
+    repeated = paired = pairs = 0
+    for i in range(0, len(words), STRETCH):
+        part = words[i : i + STRETCH]
+        repeated += sum(k for k in Counter(part).values() if k >= 3)
+        both = Counter(zip(part, part[1:]))
+        paired += sum(k for k in both.values() if k >= 2)
+        pairs += len(part) - 1
+    return repeated / max(1, len(words)), paired / max(1, pairs)
+
+
+def _bounds(texts: list[str]) -> tuple[float, float, float, float]:
+    """Bounds above the shares that stretches of a language's prose have."""
+    each: tuple[list[float], ...] = ([], [], [])
+    for turn in range(4):  # the same sentences in other company
+        words: list[str] = []
+        separators = 0
+        for text in texts[turn::2] + texts[turn % 2 :: 2]:
+            words += _WORD.findall(plain(text))
+            separators += len(_SEPARATORS.findall(text))
+            if len(words) >= STRETCH:
+                repeated, paired = _repeats(words[:STRETCH])
+                for out, x in zip(each, (repeated, paired, separators / len(words))):
+                    out.append(x)
+                words, separators = [], 0
+    top = [sorted(x)[len(x) * 49 // 50] * ABOVE_PROSE if x else 0.0 for x in each]
+    return max(ALONE, top[0]), max(REPEATED, top[0]), max(PAIRED, top[1]), max(DENSE, top[2])
+
+
+@lru_cache(maxsize=4)
+def fit(rows: tuple[tuple[str, str], ...]) -> ProseModel:
     """From clean sentences (language, text). The bound of a language is half of what nearly all its sentences reach."""
     sentences: dict[str, list[list[str]]] = {}
     for language, text in rows:
@@ -67,12 +126,11 @@ def fit(rows: list[tuple[str, str]]) -> ProseModel:
         least[language] = min(0.2, max(0.05, shares[len(shares) // 50] / 2))
         for w in words[language]:
             of[w] = (*of.get(w, ()), language)
-    return ProseModel(words, least, of)
-
-
-def fit_seeds(seeds: DataFrame) -> ProseModel:
-    rows = seeds.orderBy("seed_id").select("language", "text").limit(SEED_ROWS).collect()
-    return fit([(r[0], r[1]) for r in rows])
+    texts: dict[str, list[str]] = {}
+    for language, text in rows:
+        if language and text:
+            texts.setdefault(language, []).append(text)
+    return ProseModel(words, least, of, {language: _bounds(own) for language, own in texts.items()}, fit_kernel(rows))
 
 
 def features(text: str | None, model: ProseModel) -> dict:
@@ -84,8 +142,10 @@ def features(text: str | None, model: ProseModel) -> dict:
     sentences. Neighbouring other units form a run, and a run is keywords if
     its most repeated words make up most of it, if it lacks function words, or
     if words repeat along with word pairs or whole units or among dense
-    separators, codes and numbers. Repeated sentences are prose however often
-    they come, and replies under speakers' labels are speech; labels of
+    separators, codes and numbers. In a language that the seeds do not hold
+    the function words are not known: there want of short words stands for want
+    of them, and repetitions are counted within stretches of words. Repeated sentences are prose however
+    often they come, and replies under speakers' labels are speech; labels of
     attributes are words as any others. A run of few words counts if it is the
     page and made of hash tags or codes.
     """
@@ -118,10 +178,11 @@ def features(text: str | None, model: ProseModel) -> dict:
                 out["links"] += size
             continue
         listed = False  # whether a separator other than a sentence's end came before
-        for unit in _windows(_UNITS.findall(line)):
+        for unit, share in _windows(_UNITS.findall(line)):
             before, listed = listed, unit.rstrip()[-1:] in ("|", ";", "•")
             chars = len(unit) - unit.count(" ")
-            if _prose(unit.split(), model):
+            tags = 2 * unit.count("#") >= max(1, len(unit.split()))
+            if not tags and _prose(unit.split(), model, share):
                 out["prose"] += chars
                 open_run = None
                 continue
@@ -133,7 +194,7 @@ def features(text: str | None, model: ProseModel) -> dict:
             if label and not attribute:
                 turns[label] += 1
                 said[label] += len(words)
-            if _prose(words, model):
+            if not tags and _prose(words, model, share):
                 out["prose"] += chars
                 open_run = None
                 continue
@@ -165,13 +226,24 @@ def features(text: str | None, model: ProseModel) -> dict:
                 out["keywords"] += chars
             continue
         own = Counter(words)
-        repeated = sum(k for w, k in own.items() if counts[w] >= 3) / n
-        pairs = Counter(zip(words, words[1:]))
-        paired = sum(k for k in pairs.values() if k >= 2) / (n - 1)
+        language = model.language(words)
+        alone, some, pairwise, often = model.bounds_of(language)
+        hashes = sum(u.count("#") for u in units)
+        digital = digits / max(1, chars) >= DIGITS
+        short = n <= SHORT_UNIT * len(units)
+        listed = separators >= LISTED * n or short and digital
+        if language is None and not listed and not short:
+            # Long sentences without a known function word: prose of another language as well as words strung together.
+            repeated, paired = _repeats(words)
+        else:
+            repeated = sum(k for w, k in own.items() if counts[w] >= 3) / n
+            pairs = Counter(zip(words, words[1:]))
+            paired = sum(k for k in pairs.values() if k >= 2) / (n - 1)
         doubled = 1 - len(set(units)) / len(units)
-        dense = separators / n >= 0.15 or digits / max(1, chars) >= 0.15
-        bare = (dense or n >= LONG_RUN) and _function_share(own, n, model) < 0.5
-        if repeated >= 0.6 or bare or (repeated >= 0.35 and (dense or paired >= 0.3 or doubled >= 0.3)):
+        dense = separators / n >= often or digital
+        missing = _function_share(own, n, model) < MISSING if language is not None or listed else _no_short_words(words)
+        bare = (dense or n >= LONG_RUN) and missing
+        if 2 * hashes >= n or repeated >= alone or bare or (repeated >= some and (dense or paired >= pairwise or doubled >= DOUBLED)):
             out["keywords"] += chars
     return out
 
@@ -184,17 +256,30 @@ def _tags(units: list[str]) -> bool:
     return 4 * (hashes + codes) >= 3 * len(tokens) and (hashes >= 3 or hashes + codes >= RUN_WORDS)
 
 
-def _windows(units: list[str]) -> list[str]:
-    """Units as they are, very long ones (text without sentence ends) in windows."""
+def _windows(units: list[str]) -> list[tuple[str, float]]:
+    """Units as they are, very long ones (text without sentence ends) in windows; with how much prose they must show."""
     out = []
     for unit in units:
         if len(unit) > 160 and len(words := unit.split()) > 24:
-            out += [" ".join(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
+            out += [(" ".join(words[i : i + WINDOW]), WINDOW_SHARE) for i in range(0, len(words), WINDOW)]
         else:
-            out.append(unit)
+            out.append((unit, 1.0))
     return out
 
 
+def _no_short_words(words: list[str]) -> bool:
+    """Whether a run in no known language lacks function words: in any language with spaces many of them are short.
+
+    Different words count, within stretches, so that one short keyword makes no prose.
+    """
+    short = different = 0
+    for i in range(0, len(words), STRETCH):
+        part = set(words[i : i + STRETCH])
+        short += sum(len(w) <= SHORT_LETTERS for w in part)
+        different += len(part)
+    return short < SHORT_SHARE * different and sum(map(len, words)) <= UNPARTED * len(words)
+
+
 def _function_share(own: Counter, n: int, model: ProseModel) -> float:
     """Share of function words in a run, in units of the least share of a sentence; the best language counts."""
     found: Counter = Counter()
@@ -204,7 +289,7 @@ def _function_share(own: Counter, n: int, model: ProseModel) -> float:
     return max((k / n / model.least[language] for language, k in found.items()), default=0.0)
 
 
-def _prose(words: list[str], model: ProseModel) -> bool:
+def _prose(words: list[str], model: ProseModel, share: float = 1.0) -> bool:
     n = len(words)
     if n < 3:
         return False
@@ -214,7 +299,7 @@ def _prose(words: list[str], model: ProseModel) -> bool:
         if w in of:
             for language in of[w]:
                 found[language] = found.get(language, 0) + 1
-    return any(k >= 2 and k >= n * model.least[language] for language, k in found.items())
+    return any(k >= 2 and k >= n * share * model.least[language] for language, k in found.items())
 
 
 def spam_share(text: str | None, model: ProseModel) -> float:
@@ -228,7 +313,7 @@ def spam_shares(documents: DataFrame, seeds: DataFrame) -> DataFrame:
     A map over Arrow batches with the small fitted model as a broadcast; whole
     texts, no shuffle. Repeated rows come out repeated.
     """
-    model = documents.sparkSession.sparkContext.broadcast(fit_seeds(seeds))
+    model = documents.sparkSession.sparkContext.broadcast(fit(seed_rows(seeds)))
 
     def run(batches):
         fitted = model.value
