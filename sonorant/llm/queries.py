@@ -84,6 +84,10 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return p09_packing.fill(p9_containers(spark, d))
 
 
+def p9_check(spark: SparkSession, d: str) -> DataFrame:
+    return p09_packing.check(p9_containers(spark, d), table(spark, d, "documents"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_spam.spam(spread(table(spark, d, "documents")), table(spark, d, "language_seed"))
 
@@ -93,7 +97,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    p1_found, p1_report, p2_found, p2_labels, p2_segments, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids, p9_containers, p9_fill,
+    p1_found, p1_report, p2_found, p2_labels, p2_segments, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids, p9_containers, p9_fill, p9_check,
     p10_found, p10_shares,
 )
 
