@@ -17,17 +17,19 @@ LANGUAGE_LABELS = {
     "tr": ("tr", "tur", "turkish", "türkçe", "turkce"),
 }
 
-BLANKS = r"[\s\xa0\xad\u1680\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]+"
+#: Blanks and invisible characters.
+BLANKS = "\t\n\v\f\r \xa0\xad\u1680\u3000\ufeff" + "".join(
+    chr(c) for low, high in ((0x2000, 0x200F), (0x2028, 0x202F), (0x205F, 0x2064)) for c in range(low, high + 1))
 
 
 def tidy(value: Column) -> Column:
     """Lower case, without blanks and invisible characters at the ends."""
-    return F.lower(F.regexp_replace(value, f"^{BLANKS}|{BLANKS}$", ""))
+    return F.lower(F.btrim(value.cast("string"), F.lit(BLANKS)))
 
 
 def clip_key(audio_id: Column) -> Column:
     """The clip an audio id names, however it is written: no folder, no file ending, lower case; null if blank."""
-    name = F.regexp_replace(tidy(audio_id), r"^.*[/\\]", "")
+    name = F.substring_index(F.translate(tidy(audio_id), "\\", "/"), "/", -1)
     name = tidy(F.regexp_replace(name, r"\.(wav|flac|mp3|ogg|opus|m4a)$", ""))
     return F.nullif(name, F.lit(""))
 
@@ -37,11 +39,7 @@ RECORDING = r"^([a-z][a-z_]*?)[_-]([0-9a-f]{6,})(?:[_.-].*)?$"
 
 def recording_key(audio_id: Column) -> Column:
     """The source recording a clip id names (collection and number); the clip key itself where the layout is unknown."""
-    key = clip_key(audio_id)
-    return F.when(
-        key.rlike(RECORDING),
-        F.concat(F.regexp_extract(key, RECORDING, 1), F.lit("_"), F.regexp_extract(key, RECORDING, 2)),
-    ).otherwise(key)
+    return F.regexp_replace(clip_key(audio_id), RECORDING, "$1_$2")
 
 
 def speaker_key(speaker: Column) -> Column:
