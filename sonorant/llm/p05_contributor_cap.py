@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..runtime import cut, global_row_numbers
 from .ids import clip_key
+from .skew import looked_up
 
 CAP = 20
+SHARE = 0.02
 SALTS = 32
 
 
@@ -64,3 +67,21 @@ def kept(candidates: DataFrame, cap: int = CAP, salts: int = SALTS) -> DataFrame
         .where(F.col("place") <= cap)
         .select("audio_id", "source", "score", "place")
     )
+
+
+def over_share(candidates: DataFrame, share: float = SHARE) -> DataFrame:
+    """Clips left out when each source keeps at most this share of all clips that name a source: (audio_id).
+
+    At least one clip is kept of every source; the order is that of `over_cap`.
+    So large a cap spares no row of a dominant source the final ranking, so
+    places come from one order over all sources and clips: range partitions,
+    numbered on their own, part a source's clips over many tasks, and a place is
+    the number less that of the source's first clip.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share must lie in (0, 1]")
+    order = [F.col("source").asc(), F.col("score").desc_nulls_last(), F.col("audio_id").asc()]
+    clips = cut(global_row_numbers(latest_clips(candidates).where(F.col("source").isNotNull()), order, "row"))
+    total = clips.count()
+    first = clips.groupBy("source").agg(F.min("row").alias("m"))
+    return looked_up(clips, "source", first, total).where(F.col("row") - F.col("m") >= max(1, int(share * total))).select("audio_id")

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import cut
 
-# Letters of other scripts that look like a Latin one, each under the letter it looks like.
+# Letters of other scripts that look like a Latin one, each under the letter it looks like. Cyrillic and Greek come first;
+# then Armenian, Cherokee, Coptic, Lisu and phonetic letters.
 LOOK_ALIKES = {
-    "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜ",
-    "N": "Ν", "O": "ОΟ", "P": "РΡ", "S": "Ѕ", "T": "ТΤ", "X": "ХΧ", "Y": "УΥҮ", "Z": "Ζ", "Q": "Ԛ", "W": "Ԝ",
-    "a": "а", "c": "сϲ", "e": "е", "h": "һ", "i": "і", "j": "јϳ", "o": "оο", "p": "рρ", "s": "ѕ",
-    "v": "νѵ", "x": "х", "y": "у", "q": "ԛ", "w": "ԝ", "d": "ԁ", "l": "ӏ", "Ə": "Ә", "ə": "ә",
+    "A": "АΑᎪⲀꓮ", "B": "ВΒᏴⲂꓐ", "C": "СϹᏟⲤꓚ", "D": "Ꭰꓓᗞ", "E": "ЕΕᎬⲈꓰ", "F": "ꓝ", "G": "ᏀꓖԌ", "H": "НΗᎻⲎꓧ", "I": "ІΙӀᏆⲒꓲ", "J": "ЈͿᎫꓙ",
+    "K": "КΚᏦⲔꓗ", "L": "ᏞԼꓡ", "M": "МΜᎷⲘꓟ", "N": "ΝⲚꓠ", "O": "ОΟՕⲞꓳ", "P": "РΡᏢⲢꓑ", "Q": "Ԛ", "R": "ᎡᏒꓣ", "S": "ЅՏᏚꓢ", "T": "ТΤᎢⲦꓔ", "U": "Սꓴ",
+    "V": "ᏙꓦѴ", "W": "ԜᎳꓪ", "X": "ХΧⲬꓫ", "Y": "УΥҮⲨꓬ", "Z": "ΖᏃꓜ",
+    "a": "аɑ", "c": "сϲⲥ", "d": "ԁ", "e": "е", "g": "ɡց", "h": "һհ", "i": "і", "j": "јϳ", "l": "ӏ", "o": "оοօⲟ", "p": "рρⲣ", "q": "ԛզ",
+    "s": "ѕꜱ", "u": "ս", "v": "νѵᴠ", "w": "ԝᴡ", "x": "х", "y": "у", "z": "ᴢ", "Ə": "Ә", "ə": "ә",
 }
 # Signs read as an apostrophe.
 APOSTROPHES = "'`´ʹʻʼʽˈˊˋ‘’‛′‵＇｀ꞌ՚׳"

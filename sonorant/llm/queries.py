@@ -52,6 +52,10 @@ def p5_kept(spark: SparkSession, d: str) -> DataFrame:
     return p05_contributor_cap.kept(table(spark, d, "ssl_candidates"))
 
 
+def p5_share(spark: SparkSession, d: str) -> DataFrame:
+    return p05_contributor_cap.over_share(table(spark, d, "ssl_candidates"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p06_canonical.same_looking_pairs(spread(table(spark, d, "documents")))
 
@@ -76,6 +80,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return p08_tokenize.encode(spread(table(spark, d, "documents")), "doc_id")
 
 
+def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The texts again, from their ids."""
+    return p08_tokenize.decode(p8_ids(spark, d), "doc_id")
+
+
 def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     return p09_packing.pack_documents(spread(table(spark, d, "documents")))
 
@@ -97,7 +106,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = (
-    p1_found, p1_report, p2_found, p2_labels, p2_segments, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p6_found, p6_texts, p7_sample, p8_ids, p9_containers, p9_fill, p9_check,
+    p1_found, p1_report, p2_found, p2_labels, p2_segments, p3_ranking, p4_found, p4_split, p5_found, p5_kept, p5_share, p6_found, p6_texts, p7_sample, p8_ids, p8_round_trip, p9_containers, p9_fill, p9_check,
     p10_found, p10_shares,
 )
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .ids import NO_SPEAKER
+from .p04_grouped_split import SALT as SPLIT_SALT
+from .p05_contributor_cap import SHARE
 from .p06_canonical import APOSTROPHES, LOOK_ALIKES
 from .p07_stable_sample import RATE, SALT, threshold_digits
 
@@ -40,24 +42,38 @@ def _look(column: str) -> str:
     # Ligatures, and composed letters whose base is a look-alike.
     for old, new in (("ﬁ", "fi"), ("ﬂ", "fl"), ("…", "..."), ("\u045e", "y\u0306"), ("\u040e", "Y\u0306"), ("\u0451", "e\u0308"), ("\u0401", "E\u0308")):
         wide = f"replace({wide}, '{old}', '{new}')"
-    return rf"trim(regexp_replace(nfc_normalize({wide}), '[\s\p{{Z}}\x{{85}}\x{{0b}}]+', ' ', 'g'))"
+    plain = rf"trim(regexp_replace(nfc_normalize({wide}), '[\s\p{{Z}}\x{{85}}\x{{0b}}]+', ' ', 'g'))"
+    # A breve on y has a composed letter in Cyrillic only.
+    return f"replace(replace({plain}, 'y\u0306', '\u045e'), 'Y\u0306', '\u040e')"
 
 
 _REC = r"^([a-z][a-z_]*?)[_-]([0-9a-f]{6,})([_.-].*)?$"
 
-SQL = {
-    "p4_found": f"""
-WITH RECURSIVE base AS (
+_GROUPS = f"""base AS (
   SELECT line_number AS line, {_clip('audio_id')} AS clip, lower(trim(speaker_id)) AS who, lower(trim(split)) AS s FROM labeled_manifest),
 rows AS (
   SELECT line, CASE WHEN s LIKE '%train%' THEN 'train' WHEN s LIKE '%test%' THEN 'test' WHEN s LIKE '%dev%' OR s LIKE '%val%' THEN 'val' END AS part,
     CASE WHEN regexp_matches(clip, '{_REC}') THEN regexp_extract(clip, '{_REC}', 1) || '_' || regexp_extract(clip, '{_REC}', 2) ELSE clip END AS rec,
     CASE WHEN who NOT IN ({", ".join("'" + x + "'" for x in NO_SPEAKER)}) THEN who END AS who
   FROM base),
-e AS MATERIALIZED (SELECT line, 'r' || rec AS ent FROM rows WHERE rec IS NOT NULL UNION SELECT line, 's' || who FROM rows WHERE who IS NOT NULL),
+e AS MATERIALIZED (SELECT line, 'r:' || rec AS ent FROM rows WHERE rec IS NOT NULL UNION SELECT line, 'a:' || who FROM rows WHERE who IS NOT NULL),
 near AS MATERIALIZED (SELECT DISTINCT a.line AS x, b.line AS y FROM e a JOIN e b ON a.ent = b.ent),
-reach AS (SELECT line AS x, line AS y FROM rows UNION SELECT r.x, n.y FROM reach r JOIN near n ON n.x = r.y)
+reach AS (SELECT line AS x, line AS y FROM rows UNION SELECT r.x, n.y FROM reach r JOIN near n ON n.x = r.y)"""
+
+SQL = {
+    "p4_found": f"""
+WITH RECURSIVE {_GROUPS}
 SELECT x AS line_number, min(y) AS group_line FROM reach JOIN rows ON rows.line = reach.y GROUP BY x HAVING count(DISTINCT part) > 1
+""",
+    "p4_split": f"""
+WITH RECURSIVE {_GROUPS},
+least AS (SELECT reach.x AS line, min(ent) AS c FROM reach JOIN e ON e.line = reach.y GROUP BY 1),
+of AS (SELECT rows.line, coalesce(c, 'l:' || rows.line) AS c FROM rows LEFT JOIN least USING (line)),
+n AS (SELECT c, count(*) AS n, ('0x' || substr(sha256('{SPLIT_SALT}|' || c), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS place,
+             count(*) > sum(count(*)) OVER () * 0.05::DOUBLE AS giant FROM of GROUP BY c),
+t AS (SELECT greatest(coalesce(sum(n) FILTER (NOT giant), 0) - sum(n) * (1 - 0.8::DOUBLE), 0) / greatest(coalesce(sum(n) FILTER (NOT giant), 0), 1) AS train FROM n)
+SELECT line AS line_number, CASE WHEN giant OR place < train THEN 'train' WHEN place < train + (1 - train) * 0.5::DOUBLE THEN 'val' ELSE 'test' END AS split
+FROM of JOIN n USING (c), t
 """,
     "p3_ranking": """
 WITH q0 AS (
@@ -102,11 +118,19 @@ SELECT audio_id, row_number() OVER (ORDER BY l[1] DESC, l[2] DESC, l[3] DESC, au
 FROM v
 """,
     "p5_found": f"WITH {_SOURCES} SELECT audio_id FROM placed WHERE place > 20",
+    "p5_share": f"""WITH {_SOURCES}
+SELECT audio_id FROM placed QUALIFY place > greatest(floor({SHARE} * count(*) OVER ()), 1)""",
     "p5_kept": f"WITH {_SOURCES} SELECT audio_id, source, score, place::INTEGER AS place FROM placed WHERE place <= 20",
     "p6_found": f"""
 WITH k AS (SELECT doc_id, text, {_look('text')} AS look FROM documents WHERE text IS NOT NULL)
 SELECT a.doc_id AS doc_lo, b.doc_id AS doc_hi FROM k a JOIN k b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text WHERE a.look <> ''
 """,
+    "p6_texts": f"""
+SELECT 'documents' AS record_table, doc_id AS record_id, {_look('text')} AS text FROM documents
+UNION ALL SELECT 'labeled_manifest', line_number, {_look('text')} FROM labeled_manifest
+""",
+    "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p9_check": "SELECT count(*) AS documents, 0 AS missing, 0 AS strange, 0 AS repeated, 0 AS split, 0 AS overfull FROM documents",
     "p7_sample": f"""
 SELECT 'ssl_candidates' AS record_table, audio_id, {_clip('audio_id')} AS clip, delivered_at FROM ssl_candidates
 WHERE substr(sha256('{SALT}|' || {_clip('audio_id')}), 1, 16) < '{threshold_digits(RATE)}'
