@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from sonorant.llm.skew import looked_up
 from sonorant.llm import ids, p03_leximin, p04_grouped_split, p05_contributor_cap, p07_stable_sample
 
 CANDIDATES = "audio_id string, source_audio_id string, selection_score double, delivered_at timestamp_ntz, source string, salt int"
@@ -78,6 +79,28 @@ def test_cap_of_nothing(spark, rows):
         p05_contributor_cap.over_cap(empty, -1)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_share_of_each_source(spark, rows, seed):
+    rng = random.Random(seed)
+    data = [(f"c{i:04d}", rng.choice(["big", "big", " Audio/BIG.wav", "mid", None, "", f"s{rng.randrange(40)}"]), rng.choice([None, float("nan"), 0.5, rng.random()]), i % 60) for i in range(300)]
+    df = candidates(spark, data + data[:50])
+    counted = sum(bool(s) for _, s, _, _ in data)
+    for share in (0.01, 0.1, 1.0):
+        assert rows(p05_contributor_cap.over_share(df, share)) == cap_by_hand(data, max(1, int(share * counted)))
+    assert rows(p05_contributor_cap.over_share(df.limit(0))) == []
+    with pytest.raises(ValueError):
+        p05_contributor_cap.over_share(df, 0)
+
+
+def test_hot_keys_meet_their_values_where_they_lie(spark):
+    data = [("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(500)] + [(None, -1), ("gone", -2)]
+    df = spark.createDataFrame(data, "k string, i int")
+    values = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(500)]], "k string, m int")
+    got = sorted((r.k or "", r.i, r.m) for r in looked_up(df, "k", values, len(data)).collect())
+    assert got == sorted((k or "", i, 1 if k == "hot" else i if k and k[0] == "k" else None) for k, i in data)
+    assert looked_up(df.limit(0), "k", values, 0).count() == 0
+
+
 def test_sample_is_stable_and_grows(spark, rows):
     data = [(f"clip_{i:05d}", i) for i in range(2000)] + [(" CLIP_00007.wav", -1), (None, -2), ("", -3)]
     df = spark.createDataFrame(data, "audio_id string, n int")
@@ -179,6 +202,18 @@ def test_long_chain_and_hub(spark):
     assert got["x"] == "x" and got["z"] == "y"
 
 
+def test_split_stays_as_data_grow(spark):
+    """Without giants, rows that come in new groups move no old one."""
+    row = lambda n: (n, f"uzvox_{n // 3:09d}", f"spk{n // 6}", None, "d", "uz", None)
+    small = spark.createDataFrame([row(n) for n in range(3000)], MANIFEST)
+    large = spark.createDataFrame([row(n) for n in range(9000)], MANIFEST)
+    old = {r.line_number: r.split for r in p04_grouped_split.assign(small).collect()}
+    new = {r.line_number: r.split for r in p04_grouped_split.assign(large).collect()}
+    assert all(new[n] == s for n, s in old.items())
+    share = [sum(s == k for s in new.values()) / 9000 for k in ("train", "val", "test")]
+    assert abs(share[0] - 0.8) < 0.03 and abs(share[1] - 0.1) < 0.03
+
+
 def test_proportions_and_giants(spark):
     rng = random.Random(1)
     data = [(n, "uzvox_999999999" if n <= 600 else f"uzvox_{rng.randrange(700):09d}", None, None, "d", "uz", None) for n in range(1, 2001)]
@@ -186,9 +221,12 @@ def test_proportions_and_giants(spark):
     got = p04_grouped_split.assign(df).groupBy("split").count().collect()
     share = {r.split: r["count"] / 2000 for r in got}
     assert abs(share["train"] - 0.8) < 0.02 and abs(share["val"] - 0.1) < 0.02
+    quota = {r.split: r["count"] / 2000 for r in p04_grouped_split.assign_by_quota(df).groupBy("split").count().collect()}
+    assert abs(quota["train"] - 0.8) < 0.02 and abs(quota["val"] - 0.1) < 0.02
     again = {r.line_number: r.split for r in p04_grouped_split.assign(df.repartition(5)).collect()}
     assert again == {r.line_number: r.split for r in p04_grouped_split.assign(df).collect()}
     empty = df.limit(0)
     assert p04_grouped_split.straddling(empty).count() == 0 and p04_grouped_split.assign(empty).count() == 0
+    assert p04_grouped_split.assign_by_quota(empty).count() == 0
     with pytest.raises(ValueError):
         p04_grouped_split.assign(df, {"train": 0.9, "val": 0.2, "test": 0.1})
