@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..runtime import cut, global_row_numbers
+from .skew import HOT_PARTS, joined_apart
 
 # What the feature runs write where they have no SNR, and the range of decibels that can be.
 SNR_SENTINELS = (-99.0, 999.0)
@@ -61,24 +62,29 @@ def usable_scores(quality: DataFrame, overlap: DataFrame) -> DataFrame:
     return q.join(o, "audio_id", "full")
 
 
-def percentiles(scores: DataFrame, higher_is_better: dict[str, bool]) -> DataFrame:
-    """Mid-rank percentile of every distinct value: (score, value, percentile).
+def _long(scores: DataFrame, higher_is_better: dict[str, bool]) -> DataFrame:
+    """(audio_id, score, value): a row for each score of a clip, higher values better, null where unusable."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("score"), (F.col(name) if up else -F.col(name)).alias("value"))
+        for name, up in higher_is_better.items()
+    ])).alias("x")
+    return scores.select("audio_id", each).select("audio_id", "x.score", (F.col("x.value") + 0.0).alias("value"))
+
 
-    (worse + equal / 2) / n over the clips whose score is usable. Equal values
+def percentiles(long: DataFrame) -> DataFrame:
+    """Mid-rank percentile of every distinct value: (score, value, equal, n, percentile).
+
+    (worse + equal / 2) / n over the n clips whose score is usable. Equal values
     are counted before anything is sorted, so a value that most clips share is
     one row, and the sort is range-partitioned with offsets carried over.
     """
-    longer = scores.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("score"), (F.col(name) if up else -F.col(name)).alias("value"))
-        for name, up in higher_is_better.items()
-    ])).alias("x")).select("x.score", (F.col("x.value") + 0.0).alias("value")).where(F.col("value").isNotNull())
-    distinct = longer.groupBy("score", "value").agg(F.count("*").alias("equal"))
+    distinct = long.where(F.col("value").isNotNull()).groupBy("score", "value").agg(F.count("*").alias("equal"))
     parted = cut(
         distinct.repartitionByRange("score", "value").sortWithinPartitions("score", "value")
         .withColumn("part", F.spark_partition_id())
     )
     sums = parted.groupBy("score", "part").agg(F.sum("equal").alias("rows"))
-    # One row for each score and partition: small by construction.
+    # One row for each score and partition, so no more than the partitions the session asks for.
     order = Window.partitionBy("score").orderBy("part")
     offsets = sums.select(
         "score", "part",
@@ -90,7 +96,7 @@ def percentiles(scores: DataFrame, higher_is_better: dict[str, bool]) -> DataFra
         parted.withColumn("through", F.sum("equal").over(inside))
         .join(F.broadcast(offsets), ["score", "part"])
         .select(
-            "score", "value",
+            "score", "value", "equal", "n",
             ((F.col("offset") + F.col("through") - F.col("equal") + F.col("equal") / 2.0) / F.col("n")).alias("percentile"),
         )
     )
@@ -102,25 +108,19 @@ def leximin_ranking(scores: DataFrame, higher_is_better: dict[str, bool]) -> Dat
     Each score becomes its percentile, a missing or unusable score is 0, below
     every usable one; each clip's percentiles are sorted ascending and compared
     lexicographically, higher first, equal vectors by audio_id. No score's range
-    matters and a strong score cannot mask a weak one.
+    matters and a strong score cannot mask a weak one. All scores meet their
+    percentiles in one join; values that very many clips share, and nulls, take
+    theirs by a broadcast, so no value is a hot key.
     """
-    names = list(higher_is_better)
-    table = cut(percentiles(scores, higher_is_better))
-    out = scores
-    for name in names:
-        own = table.where(F.col("score") == name).select(
-            (F.col("value") if higher_is_better[name] else -F.col("value")).alias(name), F.col("percentile").alias(f"p_{name}")
-        )
-        own = own.withColumn(name, F.col(name) + 0.0)
-        out = out.join(own, name, "left")
-    vector = F.array_sort(F.array(*[F.coalesce(F.col(f"p_{n}"), F.lit(0.0)) for n in names]))
-    out = out.select("audio_id", vector.alias("v")).select(
-        "audio_id", *[F.col("v")[i].alias(f"p{i + 1}") for i in range(len(names))]
-    )
-    order = [*[F.col(f"p{i + 1}").desc() for i in range(len(names))], F.col("audio_id").asc()]
-    return global_row_numbers(out, order, "zero").select(
-        "audio_id", (F.col("zero") + 1).alias("place"), *[f"p{i + 1}" for i in range(len(names))]
-    )
+    k = len(higher_is_better)
+    long = _long(scores, higher_is_better)
+    table = percentiles(long)
+    hot = table.where(F.col("equal") > F.col("n") / HOT_PARTS).select("score", "value", F.struct(F.col("percentile").alias("m")).alias("__hot"))
+    told = joined_apart(long, ["score", "value"], hot, table.select("score", "value", F.col("percentile").alias("m")))
+    vectors = told.groupBy("audio_id").agg(F.array_sort(F.collect_list(F.coalesce("m", F.lit(0.0)))).alias("v"))
+    out = vectors.select("audio_id", *[F.col("v")[i].alias(f"p{i + 1}") for i in range(k)])
+    order = [*[F.col(f"p{i + 1}").desc() for i in range(k)], F.col("audio_id").asc()]
+    return global_row_numbers(out, order, "zero").select("audio_id", (F.col("zero") + 1).alias("place"), *[f"p{i + 1}" for i in range(k)])
 
 
 DIRECTIONS = {"quality_score": True, "snr_estimate_db": True, "overlap_ratio": False}
