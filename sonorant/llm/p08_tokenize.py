@@ -12,6 +12,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.files import open_input
+
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -27,9 +29,8 @@ KEPT_CHARS = 40
 class BytePairEncoder:
     """Merges by rank with a heap over a doubly linked list of symbols."""
 
-    def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    def __init__(self, vocabulary: bytes):
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.pieces = {i: piece for piece, i in self.ranks.items()}
         self.cut = regex.compile(PATTERN).findall
         self.words: dict[str, tuple[int, ...]] = {}
@@ -127,10 +128,20 @@ class BytePairEncoder:
         return b"".join(self.pieces[int(i)] for i in ids).decode("utf-8", "replace")
 
 
+def vocabulary(path: str) -> bytes:
+    """A vocabulary file, read on the driver from any file system. Its size does not depend on the corpus, so it is broadcast."""
+    with open_input(path) as f:
+        return f.read()
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str) -> BytePairEncoder:
+def _encoder(content: bytes) -> BytePairEncoder:
     """One for each Python worker and vocabulary."""
-    return BytePairEncoder(path)
+    return BytePairEncoder(content)
+
+
+def encoder(path: str) -> BytePairEncoder:
+    return _encoder(vocabulary(path))
 
 
 def encode(df: DataFrame, key: str, text: str = "text", path: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
@@ -140,8 +151,10 @@ def encode(df: DataFrame, key: str, text: str = "text", path: str = f"{TOKENIZER
     ones and rows with a null key too. A map over Arrow batches: no shuffle.
     """
 
+    held = df.sparkSession.sparkContext.broadcast(vocabulary(path))
+
     def run(batches):
-        bpe = encoder(path)
+        bpe = _encoder(held.value)
         for batch in batches:
             lists = [np.array(bpe.encode(t), np.int32) for t in batch.column(1).to_pylist()]
             ends = np.zeros(len(lists) + 1, np.int32)
@@ -158,8 +171,10 @@ def encode(df: DataFrame, key: str, text: str = "text", path: str = f"{TOKENIZER
 def sizes(df: DataFrame, key: str, text: str = "text", path: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
     """(key, tokens): only the number of ids of every text."""
 
+    held = df.sparkSession.sparkContext.broadcast(vocabulary(path))
+
     def run(batches):
-        bpe = encoder(path)
+        bpe = _encoder(held.value)
         for batch in batches:
             n = pa.array([bpe.count(t) for t in batch.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n], names=["k", "tokens"])
@@ -172,8 +187,10 @@ def sizes(df: DataFrame, key: str, text: str = "text", path: str = f"{TOKENIZERS
 def decode(df: DataFrame, key: str, ids: str = "ids", path: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
     """(key, text): the inverse of encode, by concatenating vocabulary strings. Null ids give null."""
 
+    held = df.sparkSession.sparkContext.broadcast(vocabulary(path))
+
     def run(batches):
-        bpe = encoder(path)
+        bpe = _encoder(held.value)
         for batch in batches:
             texts = [None if x is None else bpe.decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["k", "text"])
