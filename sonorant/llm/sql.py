@@ -47,6 +47,38 @@ def _look(column: str) -> str:
     return f"replace(replace({plain}, 'y\u0306', '\u045e'), 'Y\u0306', '\u040e')"
 
 
+# Capitals of a text with more Cyrillic letters than Latin ones are Cyrillic before they become small ones, which look otherwise.
+_COUNT = "length(regexp_replace(text, '[^\\p{{{0}}}]', '', 'g'))"
+_CAPITALS = {k: v[0] for k, v in LOOK_ALIKES.items() if k.isupper() and "\u0400" <= v[0] <= "\u052f"}
+_LOWER = (
+    f"lower(CASE WHEN {_COUNT.format('Cyrillic')} > {_COUNT.format('Latin')}"
+    f" THEN translate(text, '{''.join(_CAPITALS)}', '{''.join(_CAPITALS.values())}') ELSE text END)")
+
+_DOTTED = "i\u0307"
+
+#: Pairs (p, q) of problem 1. Words are those of the texts' common look; a row of the table of common subsequences is folded over one text's words.
+_NEAR = rf"""
+  said AS (
+    SELECT line_number AS line, lower(trim(split)) AS s, {_clip('audio_id')} AS clip, lower(trim(dataset)) AS dataset,
+      regexp_replace(replace(replace({_look(_LOWER)}, '{_DOTTED}', 'i'), 'ı', 'i'), '\[[^\[\]]*\]|\([^()]*\)|\{{[^{{}}]*\}}|<[^<>]*>', ' ', 'g') AS said
+    FROM labeled_manifest),
+  parts AS MATERIALIZED (
+    SELECT line, clip, dataset, CASE WHEN s LIKE '%train%' THEN 'train' WHEN s LIKE '%test%' THEN 'test' WHEN s LIKE '%dev%' OR s LIKE '%val%' THEN 'val' END AS part,
+      list_filter(list_transform(string_split(said, ' '), lambda x: regexp_replace(x, '[^\p{{L}}\p{{N}}\p{{M}}]', '', 'g')), lambda x: x <> '') AS w FROM said),
+  t AS MATERIALIZED (SELECT w, list(line) AS lines, list_distinct(w) AS d FROM parts WHERE part = 'train' AND len(w) >= 6 GROUP BY w),
+  e AS MATERIALIZED (SELECT w, list(line) AS lines, list_distinct(w) AS d FROM parts WHERE part <> 'train' AND len(w) >= 6 GROUP BY w),
+  near AS MATERIALIZED (
+    SELECT e.w AS a, t.w AS b, e.lines AS x, t.lines AS y, ceil(4 * greatest(len(e.w), len(t.w)) / 5) AS need FROM e JOIN t
+    ON 5 * len(e.w) >= 4 * len(t.w) AND 5 * len(t.w) >= 4 * len(e.w)
+      AND len(list_intersect(e.d, t.d)) >= len(e.d) - len(e.w) + 4 * greatest(len(e.w), len(t.w)) / 5),
+  agree AS (
+    SELECT x, y FROM near WHERE a = b OR list_reduce(a, lambda row, v: list_reduce(range(1, len(b) + 1), lambda acc, j: list_append(acc,
+      CASE WHEN b[j] = v THEN row[j] + 1 ELSE greatest(row[j + 1], acc[-1]) END), [0::BIGINT]), list_transform(range(len(b) + 1), lambda i: 0::BIGINT))[-1] >= need),
+  met AS MATERIALIZED (
+    SELECT p, unnest(y) AS q FROM (SELECT unnest(x) AS p, y FROM agree)
+    UNION SELECT a.line, b.line FROM parts a JOIN parts b ON a.clip = b.clip WHERE a.part <> 'train' AND b.part = 'train')
+"""
+
 _REC = r"^([a-z][a-z_]*?)[_-]([0-9a-f]{6,})([_.-].*)?$"
 
 _GROUPS = f"""base AS (
@@ -61,6 +93,10 @@ near AS MATERIALIZED (SELECT DISTINCT a.line AS x, b.line AS y FROM e a JOIN e b
 reach AS (SELECT line AS x, line AS y FROM rows UNION SELECT r.x, n.y FROM reach r JOIN near n ON n.x = r.y)"""
 
 SQL = {
+    "p1_found": f"WITH {_NEAR} SELECT least(p, q) AS line_lo, greatest(p, q) AS line_hi FROM met",
+    "p1_report": f"""WITH {_NEAR}, hits AS (SELECT p AS line, count(*) AS n FROM met GROUP BY 1)
+SELECT part AS split, dataset, count(*) AS rows, count(n) AS overlapping, coalesce(sum(n), 0)::BIGINT AS pairs
+FROM parts LEFT JOIN hits USING (line) WHERE part <> 'train' GROUP BY 1, 2""",
     "p4_found": f"""
 WITH RECURSIVE {_GROUPS}
 SELECT x AS line_number, min(y) AS group_line FROM reach JOIN rows ON rows.line = reach.y GROUP BY x HAVING count(DISTINCT part) > 1
