@@ -16,7 +16,7 @@ CAPACITY = 2048
 SHARD_ITEMS = 1024
 ISLANDS, EPOCHS, POPULATION = 3, 2, 6
 #: An epoch of an island ends after so many children without a better one, and after so many at most.
-STAGNATION, GENERATIONS = 30, 400
+STAGNATION, GENERATIONS = 20, 400
 #: Share of the best-filled containers a crossover injects, and the fill from which a container counts as well filled.
 INJECT, WELL_FILLED = 0.25, 0.98
 #: Containers, the emptiest ones, whose items a child exchanges for displaced ones.
