@@ -23,7 +23,7 @@ from .plans import pipelines
 from .runtime import cut
 from .schemas import RAW_LABELED, RAW_UNLABELED
 from .scorers import device as resolve_device, music_classifier, overlap_detector, runtime_metadata, speech_detector
-from .sources.manifest import read_manifest, write_json, write_jsonl
+from .sources.manifest import load_env, read_manifest, write_json, write_jsonl
 
 FEATURES = {
     "quality": "audio_id string, status string, clipping_ratio double, silence_ratio double, rms_dbfs double, snr_estimate_db double, dc_offset_mean_abs double, quality_score double",
@@ -255,6 +255,8 @@ def _passed(rows: DataFrame, new: dict, part: str | None = None) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> dict:
     args = parser().parse_args(argv)
+    if hasattr(args, "hf_token"):
+        load_env(".env")
     spark = SparkSession.builder.appName(f"sonorant-{args.stage}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     began = time.time()
     manifest = getattr(args, "input_manifest", "")

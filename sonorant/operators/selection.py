@@ -46,20 +46,26 @@ def mark_budget(scored: DataFrame, hours: float, score: str = "selection_score",
     longest run that fits is found from sums over chunks of rows and, inside one
     chunk, a running sum. What is left of the budget only shrinks, so clips
     longer than it are out for good, and a round is one condition on number and
-    duration. Clips of 3 to 30 seconds need a few rounds.
+    duration. After a round that at least halved what is left, the rows that may
+    still fit are written apart, so later rounds read few. Clips of 3 to 30
+    seconds need a few rounds.
     """
     ms = F.round(F.coalesce(F.nanvl("duration", F.lit(0.0)), F.lit(0.0)) * 1000).cast("bigint")
     order = _best_first(score, ties)
     rows = cut(global_row_numbers(scored.withColumn("__ms", ms), order, "__row"))
     left = round(hours * 3_600_000)
     start, taken = -1, []
+    candidates, bound = rows.select("__row", "__ms"), left
     first = rows.where(F.col("__row") == 0).select("__ms").first()
     if first is not None:
         left -= first[0]
         taken.append((F.col("__row") == 0))
         start = 0
     while first is not None and left >= 0:
-        open_rows = rows.where((F.col("__row") > start) & (F.col("__ms") <= left)).select("__row", "__ms")
+        may_fit = (F.col("__row") > start) & (F.col("__ms") <= left)
+        if 2 * left < bound and len(taken) > 2:
+            candidates, bound = cut(candidates.where(may_fit)), left
+        open_rows = candidates.where(may_fit)
         # One row for each chunk of rows that holds a candidate.
         sums = open_rows.groupBy(F.floor(F.col("__row") / CHUNK).alias("c")).agg(F.sum("__ms").alias("s")).orderBy("c").collect()
         if not sums:

@@ -29,8 +29,8 @@ def shard_totals(manifest: DataFrame, index: int, count: int, limit: int | None
 
 
 def resolve_path(path: Column, folder: str) -> Column:
-    """An absolute path as it is, a relative one under the manifest's folder."""
-    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path))
+    """An absolute path or URI as it is, a relative one under the manifest's folder."""
+    return F.when(path.startswith("/") | path.contains("://"), path).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), path))
 
 
 def clip_path(segment_id: Column, ending: str) -> Column:

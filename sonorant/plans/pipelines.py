@@ -55,7 +55,8 @@ def _stage(rows: DataFrame, run: Run, kind: str, tail: str, one: Callable[[str,
                 row = {k: getattr(r, k, None) for k in optional if k != "duration"}
                 row |= {"audio_id": r.audio_id, "feature_type": kind, "feature_version": "1.0", "source_manifest": run.manifest,
                         "source_line_number": r.line_number, kind_id(kind): run.run_id}
-                path = r.audio_path if r.audio_path is None or r.audio_path.startswith("/") else f"{run.folder}/{r.audio_path}"
+                name = str(r.audio_path)
+                path = name if name.startswith("/") or "://" in name else f"{run.folder}/{name}"
                 try:
                     out.append(row | {"status": "ok", "audio_path": path} | one(path, r))
                 except Exception as e:  # noqa: BLE001
