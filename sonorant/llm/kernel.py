@@ -13,7 +13,7 @@ from .p06_canonical import APOSTROPHES, LOOK_ALIKES
 #: Labelled sentences of a language used for fitting at most, chosen by the hash of their ids, and landmarks among all.
 ROWS_A_LANGUAGE = 200
 LANDMARKS = 320
-#: Languages that sentences are taken of at most, those with most sentences.
+#: Times so many sentences are taken in all at most.
 LANGUAGES = 40
 #: Grams are hashed to so many features.
 BITS = 16
@@ -224,10 +224,11 @@ def fit(rows: tuple[tuple[str, str], ...]) -> LanguageModel:
 
 
 def seed_rows(seeds: DataFrame) -> tuple[tuple[str, str], ...]:
-    """(language, text) of at most ROWS_A_LANGUAGE labelled sentences of each of at most LANGUAGES languages, chosen by hash."""
-    rows = seeds.where(F.col("language").isNotNull() & (F.trim("text") != "")).select("seed_id", "language", "text")
-    top = rows.groupBy("language").count().orderBy(F.col("count").desc(), "language").limit(LANGUAGES).select("language")
-    order = Window.partitionBy("language").orderBy(F.xxhash64("seed_id"), "seed_id", "text")
-    chosen = rows.join(F.broadcast(top), "language").withColumn("n", F.row_number().over(order)).where(F.col("n") <= ROWS_A_LANGUAGE)
+    """(language, text) of at most ROWS_A_LANGUAGE labelled sentences of each language, chosen by hash, and LANGUAGES times as many in all."""
+    rows = seeds.where(F.col("language").isNotNull() & (F.trim("text") != "")).select("seed_id", "language", "text", F.xxhash64("seed_id").alias("h"))
+    order = Window.partitionBy("language").orderBy("h", "seed_id", "text")
+    placed = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= ROWS_A_LANGUAGE)
+    # The first of every language, then the second, and so on: languages with few sentences are whole.
+    chosen = placed.orderBy("n", "language").limit(LANGUAGES * ROWS_A_LANGUAGE).collect()
     # In the order of the hashes, so that neighbours are of all languages and any part of the list is a sample.
-    return tuple((r[0], r[1]) for r in chosen.orderBy(F.xxhash64("seed_id"), "seed_id", "text").select("language", "text").collect())
+    return tuple((r.language, r.text) for r in sorted(chosen, key=lambda r: (r.h, r.seed_id, r.text)))

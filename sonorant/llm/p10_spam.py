@@ -226,24 +226,27 @@ def features(text: str | None, model: ProseModel) -> dict:
                 out["keywords"] += chars
             continue
         own = Counter(words)
-        language = model.language(words)
-        alone, some, pairwise, often = model.bounds_of(language)
         hashes = sum(u.count("#") for u in units)
         digital = digits / max(1, chars) >= DIGITS
         short = n <= SHORT_UNIT * len(units)
         listed = separators >= LISTED * n or short and digital
+        repeated = sum(k for w, k in own.items() if counts[w] >= 3) / n
+        if 2 * hashes >= n or (short or listed) and repeated >= model.bounds_of(None)[0]:
+            out["keywords"] += chars  # in whatever language
+            continue
+        language = model.language(words)
+        alone, some, pairwise, often = model.bounds_of(language)
         if language is None and not listed and not short:
             # Long sentences without a known function word: prose of another language as well as words strung together.
             repeated, paired = _repeats(words)
         else:
-            repeated = sum(k for w, k in own.items() if counts[w] >= 3) / n
             pairs = Counter(zip(words, words[1:]))
             paired = sum(k for k in pairs.values() if k >= 2) / (n - 1)
         doubled = 1 - len(set(units)) / len(units)
         dense = separators / n >= often or digital
         missing = _function_share(own, n, model) < MISSING if language is not None or listed else _no_short_words(words)
         bare = (dense or n >= LONG_RUN) and missing
-        if 2 * hashes >= n or repeated >= alone or bare or (repeated >= some and (dense or paired >= pairwise or doubled >= DOUBLED)):
+        if repeated >= alone or bare or (repeated >= some and (dense or paired >= pairwise or doubled >= DOUBLED)):
             out["keywords"] += chars
     return out
 
