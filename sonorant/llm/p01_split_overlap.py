@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,25 +17,28 @@ MIN_WORDS = 6
 
 
 def prepared(manifest: DataFrame) -> DataFrame:
-    """(line, part, dataset, clip, words): rows of a split with their clip key and comparable words.
+    """(line, part, dataset, clip, words, key): rows of a split with their clip key, comparable words and the words' 128-bit digest.
 
-    words is null where a text has too few; part is `train` or the evaluation
-    split. Rows without a split or line number take no part.
+    words and key are null where a text has too few; part is `train` or the
+    evaluation split. Rows without a split or line number take no part.
     """
 
     def run(batches):
         for batch in batches:
-            words = []
+            words, keys = [], []
             for text in batch.column(4).to_pylist():
                 found = comparable_words(text) if text else ()
-                words.append(" ".join(found) if len(found) >= MIN_WORDS else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(words, pa.string())], names=["line", "part", "dataset", "clip", "words"])
+                whole = " ".join(found) if len(found) >= MIN_WORDS else None
+                words.append(whole)
+                keys.append(None if whole is None else blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            columns = [*batch.columns[:4], pa.array(words, pa.string()), pa.array(keys, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["line", "part", "dataset", "clip", "words", "key"])
 
     rows = manifest.select(
         F.col("line_number").cast("bigint").alias("line"), split_name(F.col("split")).alias("part"),
         tidy(F.col("dataset")).alias("dataset"), clip_key(F.col("audio_id")).alias("clip"), F.col("text").cast("string").alias("t"),
     ).where(F.col("part").isNotNull() & F.col("line").isNotNull())
-    return rows.mapInArrow(run, "line bigint, part string, dataset string, clip string, words string")
+    return rows.mapInArrow(run, "line bigint, part string, dataset string, clip string, words string, key binary")
 
 
 def most_apart(n: int, m: int) -> int:
@@ -290,14 +295,14 @@ def overlaps(manifest: DataFrame) -> DataFrame:
     rows = cut(prepared(manifest))
     train = F.col("part") == "train"
     classes = cut(
-        rows.where(F.col("words").isNotNull()).groupBy("words")
+        rows.where(F.col("words").isNotNull()).groupBy("key", "words")
         .agg(F.min("line").alias("id"), F.max(train).alias("t"), F.max(~train).alias("e"))
     )
     near = verified(candidate_pairs(classes.where("e"), classes.where("t")), classes)
     same = classes.where(F.col("e") & F.col("t")).select(F.col("id").alias("e"), F.col("id").alias("t"))
     met = cut(near.unionByName(same))
     # Only the rows of classes that met anything are joined back.
-    members = rows.where(F.col("words").isNotNull()).join(classes.select("words", "id"), "words").select("line", "id", train.alias("train"))
+    members = rows.where(F.col("key").isNotNull()).select("key", "line", "part").join(classes.select("key", "id"), "key").select("line", "id", train.alias("train"))
     by_text = (
         met.join(members.where(~F.col("train")).select(F.col("id").alias("e"), F.col("line").alias("x")), "e")
         .join(members.where(F.col("train")).select(F.col("id").alias("t"), F.col("line").alias("y")), "t")
