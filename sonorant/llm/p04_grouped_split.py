@@ -36,16 +36,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not total:
             break
-        moved, kept = Observation(), Observation()
+        kept = Observation()
         least = current.groupBy(a.alias("b")).agg(F.min("b").alias("m"))
-        large = looked_up(current, "b", least, total).observe(moved, F.count("m").alias("n")).select("a", F.coalesce("m", "b").alias("b"))
+        large = looked_up(current, "b", least, total).select("a", F.coalesce("m", "b").alias("b"), F.col("m").isNotNull().alias("moved"))
         star = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         # A node that is not the least one its edge's owner points to is linked to that one, and so is the owner.
         pair = F.when(b == F.col("m"), F.struct("a", "b")).otherwise(F.struct(b.alias("a"), F.col("m").alias("b")))
-        split = F.count_if((b != F.col("m"))).alias("split")
-        current = cut(star.select(pair.alias("x"), "b", "m").observe(kept, split).select("x.*").distinct())
+        changed = F.count_if(F.col("moved") | (b != F.col("m"))).alias("n")
+        current = cut(star.select(pair.alias("x"), "b", "m", "moved").observe(kept, changed).select("x.*").distinct())
         total = current.count()
-        if not moved.get["n"] and not kept.get["split"]:
+        if not kept.get["n"]:
             break
     else:
         raise RuntimeError("components did not settle")
