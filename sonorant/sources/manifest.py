@@ -28,7 +28,9 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     All paths are one scan, however many; file_ord is the place of the path in
     the list that a file lies at or under. Files are read in splits. A line's
     place in its split comes from the order within the task, a split's first
-    number from the counts of the splits before it: one small row a split.
+    number from the counts of the splits before it: one small row a split, so
+    their number grows with the files, and the planner sees by their measured
+    size whether to broadcast them.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -43,7 +45,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     own = F.url_decode(F.regexp_replace(F.regexp_replace("file", r"\+", "%2B"), "^[a-z0-9]+:(//[^/]*)?", ""))
     under = F.filter(places, lambda p: (own == p["at"]) | own.startswith(F.concat(p["at"], F.lit("/"))))
     blocks = blocks.withColumn("file_ord", F.array_max(F.transform(under, lambda p: p["i"])))
-    return rows.join(F.broadcast(blocks.drop("n")), ["file", "block"]).select(
+    return rows.join(blocks.drop("n"), ["file", "block"]).select(
         "file_ord", "file", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line_number"), "value")
 
 
