@@ -166,7 +166,7 @@ SELECT 'documents' AS record_table, doc_id AS record_id, {_look('text')} AS text
 UNION ALL SELECT 'labeled_manifest', line_number, {_look('text')} FROM labeled_manifest
 """,
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
-    "p9_check": "SELECT count(*) AS documents, 0 AS missing, 0 AS strange, 0 AS repeated, 0 AS split, 0 AS overfull FROM documents",
+    "p9_check": "SELECT count(*) AS documents, 0::BIGINT AS missing, 0::BIGINT AS strange, 0::BIGINT AS repeated, 0::BIGINT AS split, 0::BIGINT AS overfull FROM documents",
     "p7_sample": f"""
 SELECT 'ssl_candidates' AS record_table, audio_id, {_clip('audio_id')} AS clip, delivered_at FROM ssl_candidates
 WHERE substr(sha256('{SALT}|' || {_clip('audio_id')}), 1, 16) < '{threshold_digits(RATE)}'
