@@ -14,6 +14,13 @@ SALT = "split-v1"
 MAX_ROUNDS = 60
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpointed rows and their number, counted as they are written (a task that runs twice may count twice)."""
+    seen = Observation()
+    df = cut(df.observe(seen, F.count("*").alias("n")))
+    return df, seen.get["n"]
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b): component is the smallest node linked to it.
 
@@ -28,11 +35,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = F.col("a"), F.col("b")
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).where(F.col("node").isNotNull()).distinct()
-    seen = Observation()
-    current = cut(
-        edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct().observe(seen, F.count("*").alias("n"))
-    )
-    total = seen.get["n"]
+    current, total = _counted(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
     for _ in range(MAX_ROUNDS):
         if not total:
             break
@@ -43,8 +46,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # A node that is not the least one its edge's owner points to is linked to that one, and so is the owner.
         pair = F.when(b == F.col("m"), F.struct("a", "b")).otherwise(F.struct(b.alias("a"), F.col("m").alias("b")))
         changed = F.count_if(F.col("moved") | (b != F.col("m"))).alias("n")
-        current = cut(star.select(pair.alias("x"), "b", "m", "moved").observe(kept, changed).select("x.*").distinct())
-        total = current.count()
+        current, total = _counted(star.select(pair.alias("x"), "b", "m", "moved").observe(kept, changed).select("x.*").distinct())
         if not kept.get["n"]:
             break
     else:
@@ -81,9 +83,9 @@ def entity_components(rows: DataFrame) -> DataFrame:
 
 def grouped_rows(manifest: DataFrame) -> DataFrame:
     """(line_number, split, dataset, language, component) of every row; a row with neither recording nor speaker is a component of its own."""
-    rows = cut(keyed_rows(manifest))
+    rows, total = _counted(keyed_rows(manifest))
     of = entity_components(rows).withColumnRenamed("component", "m")
-    return looked_up(rows.drop("r", "s"), "entity", of, rows.count()).select(
+    return looked_up(rows.drop("r", "s"), "entity", of, total).select(
         "line_number", "split", "dataset", "language", F.coalesce("m", "entity").alias("component")
     )
 
@@ -96,14 +98,14 @@ def straddling(manifest: DataFrame) -> DataFrame:
     rows. Rows are summed up to their entities first and components to their
     entities, so rows are joined once.
     """
-    rows = cut(keyed_rows(manifest))
+    rows, total = _counted(keyed_rows(manifest))
     least = (F.min("line").alias("line"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     entities = rows.groupBy("entity").agg(F.min("line_number").alias("line"), F.min("split").alias("lo"), F.max("split").alias("hi"))
-    known = cut(entities.join(entity_components(rows), "entity", "left").withColumn("component", F.coalesce("component", "entity")))
+    known, number = _counted(entities.join(entity_components(rows), "entity", "left").withColumn("component", F.coalesce("component", "entity")))
     groups = known.groupBy("component").agg(*least).where(F.col("lo") < F.col("hi")).select("component", F.col("line").alias("m"))
-    told = looked_up(known.select("entity", "component"), "component", groups, known.count())
+    told = looked_up(known.select("entity", "component"), "component", groups, number)
     chosen = told.where(F.col("m").isNotNull()).select("entity", "m")
-    return looked_up(rows.select("line_number", "entity"), "entity", chosen, rows.count()).where(F.col("m").isNotNull()).select(
+    return looked_up(rows.select("line_number", "entity"), "entity", chosen, total).where(F.col("m").isNotNull()).select(
         "line_number", F.col("m").alias("group_line"))
 
 
@@ -114,9 +116,9 @@ def _checked(ratios: dict[str, float] | None) -> dict[str, float]:
     return ratios
 
 
-def _by_component(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+def _by_component(rows: DataFrame, total: int, chosen: DataFrame) -> DataFrame:
     """(line_number, component, split) from each component's split."""
-    told = looked_up(rows.select("line_number", "component"), "component", chosen.select("component", F.col("split").alias("m")), rows.count())
+    told = looked_up(rows.select("line_number", "component"), "component", chosen.select("component", F.col("split").alias("m")), total)
     return told.select("line_number", "component", F.col("m").alias("split"))
 
 
@@ -132,7 +134,7 @@ def assign(manifest: DataFrame, ratios: dict[str, float] | None = None, salt: st
     share of the giants does.
     """
     ratios = _checked(ratios)
-    rows = cut(grouped_rows(manifest))
+    rows, number = _counted(grouped_rows(manifest))
     groups = cut(rows.groupBy("component").agg(F.count("*").alias("n")))
     total = F.sum("n")
     all_rows = groups.agg(F.coalesce(total, F.lit(0)).alias("rows"))
@@ -145,7 +147,7 @@ def assign(manifest: DataFrame, ratios: dict[str, float] | None = None, salt: st
     val = train + (1 - train) * (ratios["val"] / (ratios["val"] + ratios["test"]))
     chosen = sized.crossJoin(F.broadcast(plain)).select(
         "component", F.when(F.col("giant") | (place < train), "train").when(place < val, "val").otherwise("test").alias("split"))
-    return _by_component(rows, chosen)
+    return _by_component(rows, number, chosen)
 
 
 def assign_by_quota(manifest: DataFrame, ratios: dict[str, float] | None = None, salt: str = SALT) -> DataFrame:
@@ -161,7 +163,7 @@ def assign_by_quota(manifest: DataFrame, ratios: dict[str, float] | None = None,
     are joined by shuffles, as `dataset` is free text.
     """
     ratios = _checked(ratios)
-    rows = cut(grouped_rows(manifest))
+    rows, number = _counted(grouped_rows(manifest))
     cells = rows.groupBy("component", "dataset", "language").agg(F.count("*").alias("n"))
     groups = cells.groupBy("component").agg(
         F.sum("n").alias("n"),
@@ -197,4 +199,4 @@ def assign_by_quota(manifest: DataFrame, ratios: dict[str, float] | None = None,
     val = train + rest * (ratios["val"] / (ratios["val"] + ratios["test"]))
     split: Column = F.when(F.col("giant") | (middle < train), "train").when(middle < val, "val").otherwise("test")
     chosen = groups.join(buckets, [*key, "bucket"]).select("component", split.alias("split"))
-    return _by_component(rows, chosen)
+    return _by_component(rows, number, chosen)
