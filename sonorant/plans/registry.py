@@ -79,7 +79,8 @@ def reject_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def selection_score(spark: SparkSession, d: str) -> DataFrame:
-    return joined_ssl(spark, d).select("audio_id", "delivered_at", features.selection_score(F.col("q"), F.col("o")).alias("score"))
+    rows = table(spark, d, "ssl_candidates").select("audio_id", "delivered_at")
+    return features.join_features(rows, quality(spark, d), overlap(spark, d)).select("audio_id", "delivered_at", features.selection_score(F.col("q"), F.col("o")).alias("score"))
 
 
 def feature_last_wins(spark: SparkSession, d: str) -> DataFrame:
