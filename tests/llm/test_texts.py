@@ -361,6 +361,29 @@ def test_segments_of_mixed_documents(spark, seeds):
     assert p02_language.mixed_segments(df.limit(0), seeds).count() == 0
 
 
+def test_boundaries_of_segments_of_held_out_sentences(seeds):
+    """Documents put together from sentences that the model never saw, two to five of a language in turn."""
+    rows = p02_language.seed_rows(seeds)
+    model = p02_language.fit(rows[::2])
+    held = {}
+    for language, text in rows[1::2]:
+        held.setdefault(language, []).append(text.rstrip(".") + ".")
+    rng = random.Random(3)
+    right = total = 0
+    for _ in range(60):
+        text, want = "", []
+        for language in rng.sample(sorted(held), rng.choice([2, 3])):
+            start = len(text)
+            text += (" " if text else "") + " ".join(rng.sample(held[language], rng.randrange(2, 6)))
+            want += [language] * (len(text) - start)
+        got = p02_language.segments_of_texts([text], model)[0]
+        assert got[0][0] == 0 and got[-1][1] == len(text) and all(a[1] == b[0] for a, b in zip(got, got[1:]))
+        labels = [language for first, last, language, _ in got for _ in range(first, last)]
+        right += sum(map(str.__eq__, labels, want))
+        total += len(want)
+    assert right / total > 0.97
+
+
 def test_mixed_documents_of_short_or_unmarked_sentences(spark, seeds):
     rows = p02_language.seed_rows(seeds)
     short = [" ".join(t.split()[:6]).rstrip(".,") + "." for language in ("ru", "en") for t in [t for other, t in rows if other == language][:2]]
